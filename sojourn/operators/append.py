@@ -10,10 +10,11 @@ def unseen(staged: DataFrame, existing: DataFrame, key: str, null_keys: bool = T
     """Staged rows whose key is not in ``existing``.
 
     A NULL key equals nothing: such rows are all new, or with ``null_keys=False`` never.
-    They stay out of the join, where they would all meet in one task.
+    They carry a salt into the join, or they would all meet in one task.
     """
-    keyed = staged.filter(F.col(key).isNotNull()).join(existing.select(key), key, "left_anti")
-    keyed = keyed.select(*staged.columns)
     if not null_keys:
-        return keyed
-    return keyed.unionByName(staged.filter(F.col(key).isNull()))
+        staged = staged.filter(F.col(key).isNotNull())
+    spread = F.pmod(F.xxhash64(*staged.columns), F.lit(4096)) + 1
+    salted = staged.withColumn("__salt", F.when(F.col(key).isNull(), spread).otherwise(0))
+    held = existing.select(key, F.lit(0).cast("bigint").alias("__salt"))
+    return salted.join(held, [key, "__salt"], "left_anti").select(*staged.columns)

@@ -71,7 +71,7 @@ class Warehouse:
 
         The first load takes every row. ``batch`` names the load; repeat it to redo one.
         """
-        batch = batch or _stamp()
+        batch = _stamp() if batch is None else batch
         # Of a first load that is being redone nothing else is there: take every row again.
         if [b for b in self.batches(table) if b != batch]:
             held = self.read(table, with_batch=True).filter(F.col("batch") != batch)
@@ -83,16 +83,13 @@ class Warehouse:
 
         The previous content stays until the next replacement, for readers under way.
         """
-        batch = batch or _stamp()
+        batch = _stamp() if batch is None else batch
         before = [b for b in self.batches(table) if b != batch]
         rows = self._write(df, table, batch)
         for old in before[:-1]:
             self.spark.sql(f"ALTER TABLE {self.name(table)} DROP PARTITION (batch = {old})")
         return rows
 
-    def row_counts(self, frames: dict[str, DataFrame]) -> DataFrame:
-        return row_counts(frames)
-
     def reset(self, tables: list[str], mode: str = "drop") -> list[str]:
         """``drop`` the tables, or ``empty`` them and keep their schema; return those found."""
         if mode not in ("drop", "empty"):
