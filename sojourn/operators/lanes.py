@@ -68,6 +68,7 @@ def hot_timelines(events: DataFrame, policy: SkewPolicy = SkewPolicy()) -> DataF
             F.count("*").alias("n"),
             F.expr(f"approx_top_k_accumulate(pair, {tracked})").alias("s"),
         )
+        .groupBy(F.lit(0))  # grouped, because merging no sketches at all fails
         .agg(
             F.sum("n").alias("n"),
             F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"),
@@ -75,9 +76,11 @@ def hot_timelines(events: DataFrame, policy: SkewPolicy = SkewPolicy()) -> DataF
         .selectExpr("n", f"approx_top_k_estimate(s, {policy.max_hot}) AS top")
         .first()
     )
-    total = sketch.n or 0
+    if sketch is None:
+        return None
+    total = sketch.n
     floor = max(policy.min_rows, policy.share * total)
-    counts = {row.item: row["count"] for row in sketch.top or [] if row["count"] >= floor}
+    counts = {row.item: row["count"] for row in sketch.top if row["count"] >= floor}
     if not counts:
         return None
 

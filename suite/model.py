@@ -120,14 +120,18 @@ def dim_mentors(spark, sf_dir) -> DataFrame:
     )
 
 
-def fct_sessions(spark, sf_dir, log: DataFrame | None = None) -> DataFrame:
-    log = event_log(spark, sf_dir) if log is None else log
-    return facts.sessions(pairing.sessions(log, pairing.hot_timelines(log)), 30, AS_OF)
+def probed_log(spark, sf_dir) -> tuple[DataFrame, DataFrame | None]:
+    """The event log and its hot timelines, looked for once per query."""
+    log = event_log(spark, sf_dir)
+    return log, pairing.hot_timelines(log)
 
 
-def fct_bookings(spark, sf_dir) -> DataFrame:
-    log = event_log(spark, sf_dir)
-    return facts.bookings(pairing.bookings(log, pairing.hot_timelines(log)), AS_OF)
+def fct_sessions(log: DataFrame, hot: DataFrame | None) -> DataFrame:
+    return facts.sessions(pairing.sessions(log, hot), 30, AS_OF)
+
+
+def fct_bookings(log: DataFrame, hot: DataFrame | None) -> DataFrame:
+    return facts.bookings(pairing.bookings(log, hot), AS_OF)
 
 
 def dirty_events(spark, sf_dir) -> DataFrame:

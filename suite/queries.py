@@ -34,24 +34,22 @@ def query(fn):
 
 @query
 def sessions_paired(spark, sf_dir):
-    log = m.event_log(spark, sf_dir)
-    return pairing.sessions(log, pairing.hot_timelines(log))
+    return pairing.sessions(*m.probed_log(spark, sf_dir))
 
 
 @query
 def bookings_paired(spark, sf_dir):
-    log = m.event_log(spark, sf_dir)
-    return pairing.bookings(log, pairing.hot_timelines(log))
+    return pairing.bookings(*m.probed_log(spark, sf_dir))
 
 
 @query
 def fct_sessions(spark, sf_dir):
-    return m.fct_sessions(spark, sf_dir).drop("inserted_at")
+    return m.fct_sessions(*m.probed_log(spark, sf_dir)).drop("inserted_at")
 
 
 @query
 def fct_bookings(spark, sf_dir):
-    return m.fct_bookings(spark, sf_dir).drop("inserted_at")
+    return m.fct_bookings(*m.probed_log(spark, sf_dir)).drop("inserted_at")
 
 
 # --- dimensions --------------------------------------------------------------------------
@@ -106,7 +104,7 @@ def scd2_returned(spark, sf_dir):
 
 def _rate(spark, sf_dir, a, b, days):
     return analysis.rebooking(
-        m.fct_sessions(spark, sf_dir), m.dim_mentors(spark, sf_dir), a, b, days
+        m.fct_sessions(*m.probed_log(spark, sf_dir)), m.dim_mentors(spark, sf_dir), a, b, days
     )
 
 
@@ -160,7 +158,7 @@ def rebooking_sanity(spark, sf_dir):
 
 
 def _reliability(spark, sf_dir):
-    return analysis.reliability(m.fct_bookings(spark, sf_dir), m.dim_mentors(spark, sf_dir))
+    return analysis.reliability(m.fct_bookings(*m.probed_log(spark, sf_dir)), m.dim_mentors(spark, sf_dir))
 
 
 @query
@@ -180,9 +178,10 @@ def reliability_pivot(spark, sf_dir):
 
 @query
 def booking_intent(spark, sf_dir):
+    log, hot = m.probed_log(spark, sf_dir)
     return analysis.intent(
-        m.fct_sessions(spark, sf_dir),
-        m.fct_bookings(spark, sf_dir),
+        m.fct_sessions(log, hot),
+        m.fct_bookings(log, hot),
         m.dim_mentors(spark, sf_dir),
         window_days=3,
     )
@@ -205,9 +204,9 @@ def incremental_append(spark, sf_dir):
 @query
 def late_events_frozen(spark, sf_dir):
     """Session facts after two deliveries: ends that came late change no stored row."""
-    log = m.event_log(spark, sf_dir)
-    stored = m.fct_sessions(spark, sf_dir, _first_batch(log))
-    new = unseen(m.fct_sessions(spark, sf_dir, log), stored, "session_hk", null_keys=False)
+    log, hot = m.probed_log(spark, sf_dir)
+    stored = m.fct_sessions(_first_batch(log), hot)
+    new = unseen(m.fct_sessions(log, hot), stored, "session_hk", null_keys=False)
     return stored.unionByName(new).drop("inserted_at")
 
 
@@ -277,12 +276,12 @@ def booking_null_users(spark, sf_dir):
 @query
 def dq_not_null(spark, sf_dir):
     cols = ["booking_hk", "outcome_at", "first_session_at", "outcome_status"]
-    return quality.not_null(m.fct_bookings(spark, sf_dir), "fct_bookings", cols)
+    return quality.not_null(m.fct_bookings(*m.probed_log(spark, sf_dir)), "fct_bookings", cols)
 
 
 @query
 def dq_unique(spark, sf_dir):
-    sessions = m.fct_sessions(spark, sf_dir)
+    sessions = m.fct_sessions(*m.probed_log(spark, sf_dir))
     return quality.unique(sessions, "fct_sessions", "session_hk").unionByName(
         quality.unique(sessions, "fct_sessions", "user_id")
     )
@@ -298,7 +297,7 @@ def dq_accepted(spark, sf_dir):
 
 @query
 def dq_relationships(spark, sf_dir):
-    sessions = m.fct_sessions(spark, sf_dir)
+    sessions = m.fct_sessions(*m.probed_log(spark, sf_dir))
     users = dims.stg_users(m.user_export(spark, sf_dir))
     orders = m.table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "user_id")
     return quality.relationships(sessions, "fct_sessions", "user_id", users).unionByName(
@@ -309,8 +308,7 @@ def dq_relationships(spark, sf_dir):
 @query
 def dq_declared(spark, sf_dir):
     """All declared checks over the model: tables, staging views, dimensions and facts."""
-    log = m.event_log(spark, sf_dir)
-    hot = pairing.hot_timelines(log)
+    log, hot = m.probed_log(spark, sf_dir)
     sessions, bookings = pairing.sessions(log, hot), pairing.bookings(log, hot)
     raw_users = m.user_export(spark, sf_dir)
     staged = dims.stg_users(raw_users)
@@ -334,9 +332,10 @@ def dq_declared(spark, sf_dir):
 
 @query
 def dq_business(spark, sf_dir):
+    log, hot = m.probed_log(spark, sf_dir)
     return quality.business(
-        m.fct_sessions(spark, sf_dir),
-        m.fct_bookings(spark, sf_dir),
+        m.fct_sessions(log, hot),
+        m.fct_bookings(log, hot),
         m.dim_mentors(spark, sf_dir),
         Params(group_a=("Diamond",), group_b=("Silver",)),
     )
@@ -352,13 +351,14 @@ def available_tiers(spark, sf_dir):
 
 @query
 def table_row_counts(spark, sf_dir):
+    log, hot = m.probed_log(spark, sf_dir)
     return row_counts(
         {
             "raw_users": m.user_export(spark, sf_dir),
             "raw_mentors": m.supplier_sheet(spark, sf_dir),
-            "raw_events": m.event_log(spark, sf_dir),
-            "fct_sessions": m.fct_sessions(spark, sf_dir),
-            "fct_bookings": m.fct_bookings(spark, sf_dir),
+            "raw_events": log,
+            "fct_sessions": m.fct_sessions(log, hot),
+            "fct_bookings": m.fct_bookings(log, hot),
         }
     )
 
