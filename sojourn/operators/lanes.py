@@ -68,7 +68,7 @@ def hot_timelines(events: DataFrame, policy: SkewPolicy = SkewPolicy()) -> DataF
             F.count("*").alias("n"),
             F.expr(f"approx_top_k_accumulate(pair, {tracked})").alias("s"),
         )
-        .groupBy(F.lit(0))  # grouped, because merging no sketches at all fails
+        .groupBy(F.lit("all"))  # grouped, because merging no sketches at all fails
         .agg(
             F.sum("n").alias("n"),
             F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"),
