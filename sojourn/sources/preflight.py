@@ -103,11 +103,16 @@ def json_report(spark: SparkSession, path: str) -> tuple[list[str], str]:
         .option("columnNameOfCorruptRecord", "bad")
         .json(path, multiLine=True)
     )
-    if not whole.filter("bad IS NOT NULL").isEmpty():
+    # Spark wants a parsed column next to the corrupt-record one.
+    size = whole.agg(
+        F.count_if(F.col("bad").isNotNull()).alias("bad"),
+        F.sum(F.length(F.coalesce("event_id", F.lit(""))) + 1).alias("content"),
+    ).first()
+    if size.bad:
         issues.append(f"[file] {path}: not valid JSON")
     elif found.other_files:
         issues.append(f"[file] {path}: must be a JSON array")
-    elif whole.isEmpty():
+    elif not size.content:
         issues.append(f"[file] {path}: empty JSON array")
     return issues, "array"
 
