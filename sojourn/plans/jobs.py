@@ -12,13 +12,13 @@ from ..operators import pairing, scd2
 from ..operators.lanes import SkewPolicy
 from ..params import EVENT_TYPES, Params
 from ..sources import files, normalize, preflight, runlog
-from ..sources.tables import Warehouse, row_counts
+from ..sources.tables import Warehouse, new_batch, row_counts
 from . import analysis, dims, facts, quality
 
 log = logging.getLogger(__name__)
 
 TABLES = ["raw_users", "raw_mentors", "raw_events", "snap_mentors", "dim_users",
-          "dim_mentors", "fct_sessions", "fct_bookings"]
+          "dim_mentors", "fct_sessions", "fct_bookings", "touched_events"]
 MODES = ("full", "ingest-only", "transform-only", "analysis-only")
 
 
@@ -59,39 +59,41 @@ def ingest_events(wh: Warehouse, path: str, batch: int | None = None) -> int:
     issues, layout = preflight.json_report(wh.spark, path)
     preflight.gate(path, issues)
     raw = files.read_events(wh.spark, path, layout)
+    batch = new_batch() if batch is None else batch
     seen = Observation()
     new = wh.append_new(normalize.events(raw, seen), "raw_events", "event_id", batch=batch)
     _dropped(seen, "events")
     if seen.get["booking_dropped"]:
         log.warning("%s of the dropped events are bookings", seen.get["booking_dropped"])
-    unknown = normalize.unknown_types(wh.read("raw_events"))
+    stored = wh.read("raw_events", with_batch=True).filter(F.col("batch") == batch)
+    unknown = normalize.unknown_types(stored)
     for row in unknown.limit(100).collect():
         log.warning("unknown event_type %r: %s events", row.event_type, row.n)
     return new
 
 
-def events_to_pair(wh: Warehouse, table: str) -> tuple[DataFrame, int | None]:
-    """Events of every timeline that batches newer than ``table`` touch, and the newest batch.
+def events_to_pair(wh: Warehouse) -> DataFrame:
+    """Events of every timeline that got events since the facts were last built.
 
-    The other timelines have all their rows in the table already, and stored rows never
-    change. Facts are stored under the newest event batch they were built from.
+    The other timelines have all their rows in the facts already, and stored rows never
+    change. Facts are stored under the number of the newest event batch they were built
+    from; that batch counts as new once more, in case it was added to.
     """
     events = wh.read("raw_events", with_batch=True)
-    batches = wh.batches("raw_events")
-    newest = batches[-1] if batches else None
-    covered = [b for b in wh.batches(table) if b != newest]
-    if not covered:
-        return events.drop("batch"), newest
+    built = [wh.batches(t) for t in ("fct_sessions", "fct_bookings")]
+    if not all(built):
+        return events.drop("batch")
+    since = min(b[-1] for b in built)
     pair = [F.col("user_id").cast("bigint"), F.trim("mentor_id")]
     fresh = (
-        events.filter(
-            (F.col("batch") > covered[-1]) & F.col("event_type").isin(list(EVENT_TYPES))
-        )
+        events.filter((F.col("batch") >= since) & F.col("event_type").isin(list(EVENT_TYPES)))
         .select(pair[0].alias("u"), pair[1].alias("m"))
         .distinct()
     )
     touched = events.join(fresh, (pair[0] == F.col("u")) & (pair[1] == F.col("m")), "left_semi")
-    return touched.drop("batch"), newest
+    # Read several times below, so the join is paid for once.
+    wh.replace(touched.drop("batch"), "touched_events")
+    return wh.latest("touched_events")
 
 
 def transform(wh: Warehouse, params: Params, as_of: datetime | None = None,
@@ -106,15 +108,13 @@ def transform(wh: Warehouse, params: Params, as_of: datetime | None = None,
     wh.replace(scd2.apply(before, sheet, "mentor_id", ["tier"], as_of), "snap_mentors")
     wh.replace(dims.mentors(wh.latest("snap_mentors")), "dim_mentors")
 
-    events, newest = events_to_pair(wh, "fct_sessions")
-    pairs = pairing.sessions(events, pairing.hot_timelines(events, policy))
-    wh.append_new(facts.sessions(pairs, params.default_minutes, as_of), "fct_sessions",
-                  "session_hk", null_keys=False, batch=newest)
-
-    events, newest = events_to_pair(wh, "fct_bookings")
-    pairs = pairing.bookings(events, pairing.hot_timelines(events, policy))
-    wh.append_new(facts.bookings(pairs, as_of), "fct_bookings", "booking_hk",
-                  null_keys=False, batch=newest)
+    events = events_to_pair(wh)
+    newest = max(wh.batches("raw_events"), default=None)
+    hot = pairing.hot_timelines(events, policy)
+    sessions = facts.sessions(pairing.sessions(events, hot), params.default_minutes, as_of)
+    wh.append_new(sessions, "fct_sessions", "session_hk", null_keys=False, batch=newest)
+    bookings = facts.bookings(pairing.bookings(events, hot), as_of)
+    wh.append_new(bookings, "fct_bookings", "booking_hk", null_keys=False, batch=newest)
     return row_counts(marts(wh))
 
 
@@ -127,10 +127,12 @@ def marts(wh: Warehouse) -> dict[str, DataFrame]:
     }
 
 
-def checks(wh: Warehouse, params: Params, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
-    """All declared and business checks over the warehouse."""
+def checks(wh: Warehouse, params: Params) -> DataFrame:
+    """All declared and business checks over the warehouse.
+
+    The checks on pairs are about the anchors alone; Spark drops the pairing from their plan.
+    """
     events = wh.read("raw_events")
-    hot = pairing.hot_timelines(events, policy)
     m = marts(wh)
     frames = {
         "raw_users": wh.read("raw_users"),
@@ -138,8 +140,8 @@ def checks(wh: Warehouse, params: Params, policy: SkewPolicy = SkewPolicy()) ->
         "raw_events": events,
         "stg_users": dims.stg_users(wh.read("raw_users")),
         "stg_mentors": dims.stg_mentors(wh.latest("raw_mentors")),
-        "stg_session_pairs": pairing.sessions(events, hot),
-        "stg_booking_pairs": pairing.bookings(events, hot),
+        "stg_session_pairs": pairing.sessions(events),
+        "stg_booking_pairs": pairing.bookings(events),
         **m,
     }
     rules = quality.business(m["fct_sessions"], m["fct_bookings"], m["dim_mentors"], params)

@@ -52,7 +52,7 @@ def json_report(spark: SparkSession, path: str) -> tuple[list[str], str]:
     leaves a piece that does not parse, so a file without such pieces is read correctly; any
     other file is parsed as a whole before it is called broken.
     """
-    issues = _missing(spark, path) or encoding_issues(spark, path)
+    issues = _missing(spark, path)
     if issues:
         return issues, "records"
     raw = F.col("value")
@@ -74,11 +74,13 @@ def json_report(spark: SparkSession, path: str) -> tuple[list[str], str]:
         kind.alias("kind"),
         (raw.contains("{") & parsed["bad"].isNotNull()).alias("broken"),
         chunk.startswith("[").alias("bracket"),
+        (~F.is_valid_utf8(raw)).alias("bad_text"),
         "pos",
     )
     # One row per file, then one row: how many files have a sound structure of either form.
     per_file = pieces.groupBy("pos.file").agg(
         F.min_by("bracket", "pos").alias("is_array"),
+        F.count_if("bad_text").alias("bad_text"),
         *[
             F.count_if(F.col("kind") == k).alias(k)
             for k in ("open", "close", "next", "line", "empty")
@@ -93,7 +95,10 @@ def json_report(spark: SparkSession, path: str) -> tuple[list[str], str]:
         F.sum(records).alias("records"),
         F.count_if((F.col("odd") > 0) | ~(array | lines | empty)).alias("odd_files"),
         F.count_if(~F.col("is_array")).alias("other_files"),
+        F.sum("bad_text").alias("bad_text"),
     ).first()
+    if found.bad_text:
+        return [f"[encoding] {path}: {found.bad_text} record(s) are not UTF-8"], "records"
     if not found.odd_files:
         if found.records:
             return [], "records"

@@ -1,8 +1,8 @@
 """Warehouse tables in the session's catalog, written one batch at a time.
 
 Every table is partitioned by ``batch``. A batch becomes visible when Spark registers its
-finished partition, and writing the same batch again replaces it, so a job that was lost on
-the way is simply run again.
+finished partition; what a lost job left behind before that is overwritten by the next one.
+So a job that was lost is simply run again, and one that was not adds nothing.
 """
 
 from __future__ import annotations
@@ -54,13 +54,13 @@ class Warehouse:
             df = df.filter(F.col("batch") == newest[-1])
         return df.drop("batch")
 
-    def _write(self, df: DataFrame, table: str, batch: int) -> int:
+    def _write(self, df: DataFrame, table: str, batch: int, overwrite: bool) -> int:
         seen = Observation()
         rows = df.withColumn("batch", F.lit(batch)).observe(seen, F.count("*").alias("n"))
         if self.exists(table):
             # By name: a source may list its columns in another order.
             target = self.spark.table(self.name(table)).columns
-            rows.select(*target).write.insertInto(self.name(table), overwrite=True)
+            rows.select(*target).write.insertInto(self.name(table), overwrite=overwrite)
         else:
             rows.write.partitionBy("batch").format("parquet").saveAsTable(self.name(table))
         return seen.get["n"]
@@ -69,23 +69,23 @@ class Warehouse:
                    batch: int | None = None) -> int:
         """Add staged rows whose key the table does not hold; return how many.
 
-        The first load takes every row. ``batch`` names the load; repeat it to redo one.
+        ``staged`` holds each key once where ``null_keys`` are kept. The first load takes
+        every row. Stored rows never change, also not when a batch is repeated.
         """
-        batch = _stamp() if batch is None else batch
-        # Of a first load that is being redone nothing else is there: take every row again.
-        if [b for b in self.batches(table) if b != batch]:
-            held = self.read(table, with_batch=True).filter(F.col("batch") != batch)
-            staged = unseen(staged, held, key, null_keys)
-        return self._write(staged, table, batch)
+        batch = new_batch() if batch is None else batch
+        stored = self.batches(table)
+        if stored:
+            staged = unseen(staged, self.read(table), key, null_keys, distinct=True)
+        return self._write(staged, table, batch, overwrite=batch not in stored)
 
     def replace(self, df: DataFrame, table: str, batch: int | None = None) -> int:
         """Make ``df`` the table's content; ``df`` may read the table itself.
 
         The previous content stays until the next replacement, for readers under way.
         """
-        batch = _stamp() if batch is None else batch
+        batch = new_batch() if batch is None else batch
         before = [b for b in self.batches(table) if b != batch]
-        rows = self._write(df, table, batch)
+        rows = self._write(df, table, batch, overwrite=True)
         for old in before[:-1]:
             self.spark.sql(f"ALTER TABLE {self.name(table)} DROP PARTITION (batch = {old})")
         return rows
@@ -110,5 +110,6 @@ def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def _stamp() -> int:
+def new_batch() -> int:
+    """A number above all earlier ones."""
     return time.time_ns() // 1000

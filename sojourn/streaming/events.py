@@ -31,9 +31,10 @@ def ingest(wh: Warehouse, stream: DataFrame, checkpoint: str, first_batch: int =
            policy: SkewPolicy = SkewPolicy(), **trigger) -> StreamingQuery:
     """Append unseen events; with ``params`` also bring dimensions and facts up to date.
 
-    A micro-batch is stored under its own batch number, counted from ``first_batch``. Spark
-    repeats a micro-batch that was lost, and writing a batch again replaces it, so every
-    event is stored once. Events already stored under another batch are left out.
+    A micro-batch is stored under its own batch number, counted from ``first_batch``, which
+    must lie above the batches stored before the stream was first started. Spark repeats a
+    micro-batch that was lost, and events that are stored already are left out, so every
+    event is stored once.
     """
 
     def step(rows: DataFrame, epoch: int) -> None:

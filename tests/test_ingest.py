@@ -196,19 +196,34 @@ def test_ingest_is_idempotent(wh, tmp_path):
         "event_id", "user_id", "mentor_id", "timestamp", "event_type"]
 
 
-def test_a_batch_can_be_redone(wh, tmp_path):
+def test_a_batch_can_be_repeated(wh, tmp_path):
     src = write_all(tmp_path)
     assert jobs.ingest_events(wh, src["events"], batch=1) == 30
-    assert jobs.ingest_events(wh, src["events"], batch=1) == 30
+    assert jobs.ingest_events(wh, src["events"], batch=1) == 0
     more = write_json(tmp_path / "more.json", events() + [
         {"event_id": "new", "user_id": 1, "mentor_id": "M1",
          "timestamp": "2025-05-01T00:00:00Z", "event_type": "session_started"}])
     assert jobs.ingest_events(wh, more, batch=2) == 1
-    assert jobs.ingest_events(wh, more, batch=2) == 1
+    assert jobs.ingest_events(wh, more, batch=2) == 0
     assert wh.read("raw_events").count() == 31
     assert wh.batches("raw_events") == [1, 2]
 
 
+def test_leftovers_of_a_lost_job_are_overwritten(spark, wh, tmp_path):
+    src = write_all(tmp_path)
+    jobs.ingest_events(wh, src["events"], batch=1)
+    # A job that died before its partition was registered leaves files behind.
+    where = spark.sql(f"DESCRIBE FORMATTED {wh.name('raw_events')}").filter(
+        "col_name = 'Location'").first().data_type
+    wh.read("raw_events").write.parquet(f"{where}/batch=2")
+    assert wh.batches("raw_events") == [1]
+    more = write_json(tmp_path / "more.json", [
+        {"event_id": "new", "user_id": 1, "mentor_id": "M1",
+         "timestamp": "2025-05-01T00:00:00Z", "event_type": "session_started"}])
+    assert jobs.ingest_events(wh, more, batch=2) == 1
+    assert wh.read("raw_events").count() == 31
+
+
 def test_mentors_are_replaced(wh, tmp_path):
     path = write_all(tmp_path)["mentors"]
     assert jobs.ingest_mentors(wh, path) == 3

@@ -135,18 +135,39 @@ def test_late_events_change_no_stored_row(spark, tmp_path):
     assert bookings == {"x2": ("pending",), "x5": ("confirmed_attended",)}
 
     jobs.ingest_events(wh, write_json(tmp_path / "late.json", early + late))
-    touched, _ = jobs.events_to_pair(wh, "fct_sessions")
-    assert {r.user_id for r in touched.collect()} == {1, 3}, "user 2 has nothing new"
     jobs.transform(wh, Params(), AT)
     assert stored("fct_sessions", "session_id", "duration_minutes", "is_duration_estimated") == {
         **sessions, "x10": (30, True)}
     assert stored("fct_bookings", "booking_id", "outcome_status") == {
         **bookings, "x11": ("pending",)}
 
-    # A transform that is run again, whole or after being lost, stores the same.
-    jobs.transform(wh, Params(), AT)
+    # A transform that is run again, even with other settings, changes no stored row.
+    jobs.transform(wh, Params(default_minutes=5), datetime(2026, 1, 1))
+    assert wh.read("fct_sessions").filter("is_duration_estimated AND duration_minutes <> 30"
+                                          ).count() == 0
+    assert {r.inserted_at for r in wh.read("fct_bookings").collect()} == {AT}
     assert wh.read("fct_sessions").count() == 4 and wh.read("fct_bookings").count() == 3
 
+    # Only timelines with news are paired again.
+    more = [{"event_id": "z", "user_id": 3, "mentor_id": "M2", "event_type": "session_started",
+             "timestamp": "2025-01-02T10:00:00Z"}]
+    jobs.ingest_events(wh, write_json(tmp_path / "more.json", more))
+    jobs.transform(wh, Params(), AT)
+    jobs.transform(wh, Params(), AT)
+    assert {r.user_id for r in wh.latest("touched_events").collect()} == {1, 3}
+    assert wh.read("fct_sessions").count() == 5
+
+
+def test_checks_on_pairs_need_no_pairing(spark):
+    log = spark.createDataFrame([], "event_id string, user_id bigint, mentor_id string,"
+                                " timestamp timestamp_ntz, event_type string")
+    from sojourn.operators import pairing
+
+    for name, pairs in (("stg_session_pairs", pairing.sessions(log)),
+                        ("stg_booking_pairs", pairing.bookings(log))):
+        plan = quality.declared({name: pairs})._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan
+
 
 def test_tier_change_moves_users(spark, tmp_path):
     wh = make(spark, "tiers")
