@@ -143,73 +143,102 @@ def _layout(cuts):
     return [c[0] for c in chunks], chunks, starts, [1] + [salts.get(b, 1) for b in bounds]
 
 
-def _lane(at: Column, spread: Column) -> Column:
-    """Lane of a row joined to its timeline's slices: boundaries at or before ``at``, salted."""
-    block = F.size(F.filter("heads", lambda b: b <= at))
-    within = F.size(F.filter(F.element_at("chunks", block), lambda b: b <= at))
-    slice_no = F.when(block == 0, 0).otherwise(F.element_at("starts", block) + within)
-    salt = F.pmod(spread, F.element_at("salts", slice_no + 1))
-    return slice_no.cast("bigint") * _SALTS + salt
+def _place(joined: DataFrame) -> DataFrame:
+    """``slice`` and ``salted`` of rows joined to their timeline's slices; NULL without any.
 
+    Step by step, so that each list is searched once per row.
+    """
+    at = F.col("at")
+    return (
+        joined.withColumn("block", F.size(F.filter("heads", lambda b: b <= at)))
+        .withColumn(
+            "slice",
+            F.when(F.col("heads").isNull(), None)
+            .when(F.col("block") == 0, 0)
+            .otherwise(
+                F.element_at("starts", F.col("block"))
+                + F.size(F.filter(F.element_at("chunks", F.col("block")), lambda b: b <= at))
+            ),
+        )
+        .withColumn("pieces", F.element_at("salts", F.col("slice") + 1))
+    )
+
+
+def assign(df: DataFrame, hot: DataFrame | None, usable: Column):
+    """Give every row its ``lane``; return the rows, and those of hot timelines once more.
 
-def assign(df: DataFrame, hot: DataFrame | None, usable: Column) -> DataFrame:
-    """Add ``lane``. Rows that cannot match anything get spread-out negative lanes."""
+    Rows that cannot match anything get spread-out negative lanes.
+    """
     spread = F.xxhash64("event_id", "at", *PAIR)
     aside = -1 - F.pmod(spread, F.lit(4096))
+    zero = F.lit(0).cast("bigint")
     if hot is None:
-        return df.withColumn("lane", F.when(usable, F.lit(0).cast("bigint")).otherwise(aside))
+        return df.withColumn("lane", F.when(usable, zero).otherwise(aside)), None
+    lane = F.col("slice").cast("bigint") * _SALTS + F.pmod(spread, F.col("pieces"))
     # At most 1 / share rows: a bound that does not depend on the log.
-    joined = df.join(F.broadcast(hot), PAIR, "left")
-    lane = F.when(~usable, aside).when(F.col("heads").isNull(), F.lit(0).cast("bigint"))
-    return joined.withColumn("lane", lane.otherwise(_lane(F.col("at"), spread))).drop(
-        "heads", "chunks", "starts", "salts"
+    slices = F.broadcast(hot)
+    rows = _place(df.join(slices, PAIR, "left")).select(
+        *df.columns, F.when(~usable, aside).otherwise(F.coalesce(lane, zero)).alias("lane")
+    )
+    side = _place(df.filter(usable).join(slices, PAIR)).select(
+        *df.columns, lane.alias("lane"), (F.col("pieces") > 1).alias("salted")
     )
+    return rows, side
 
 
-def next_of(df: DataFrame, anchor: str, wanted: dict[str, Column],
-            hot: DataFrame | None) -> DataFrame:
+def next_of(rows: DataFrame, side: DataFrame | None, wanted: dict[str, Column],
+            anchor: str | None = None):
     """For every row, the nearest strictly later value of each ``wanted`` expression.
 
     ``wanted`` values are the row's time, or a struct that starts with it, on rows of the
-    wanted kind and NULL elsewhere; one entry is named ``anchor``. Time runs backwards
-    through a running frame, so each timeline is read once. At equal times rows of a lower
-    ``kind`` come first, hence do not see the rows after them; anchors of equal time see the
-    one with the next higher event id.
+    wanted kind and NULL elsewhere. Time runs backwards through a running frame, so each
+    timeline is read once. At equal times rows of a lower ``kind`` come first, hence do not
+    see the rows after them. Only the entry named ``anchor`` looks further: rows of that
+    kind see the one of equal time with the next higher event id.
+
+    Takes and returns both frames of :func:`assign`.
     """
+    if side is None:
+        return _scan(rows, wanted), None
+    # One row per lane of a hot timeline: bounded like the slices are.
+    carried = F.broadcast(_carry(side, wanted, anchor))
+
+    def complete(df: DataFrame) -> DataFrame:
+        joined = _scan(df, wanted).join(carried, [*PAIR, "lane"], "left")
+        filled = [F.coalesce(F.col(k), F.col(f"{k}__carry")).alias(k) for k in wanted]
+        return joined.select(*df.columns, *filled)
+
+    return complete(rows), complete(side)
+
+
+def _scan(df: DataFrame, wanted: dict[str, Column]) -> DataFrame:
     order = [F.col("at").desc(), F.col("kind").asc(), F.col("event_id").desc_nulls_first()]
     w = Window.partitionBy(*PAIR, "lane").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    out = df.select(
+    return df.select(
         "*", *[F.last(v, ignorenulls=True).over(w).alias(k) for k, v in wanted.items()]
     )
-    if hot is None:
-        return out
 
-    last_id = F.coalesce(F.col("event_id"), F.lit("\U0010ffff"))
+
+def _carry(side: DataFrame, wanted: dict[str, Column], anchor: str | None) -> DataFrame:
+    """What lies in later slices, for every lane of a hot timeline."""
     lanes = (
-        df.join(F.broadcast(hot.select(*PAIR)), PAIR, "left_semi")
-        .filter(F.col("lane") >= 0)
-        .groupBy(*PAIR, "lane")
-        .agg(
-            *[F.min(v).alias(k) for k, v in wanted.items()],
-            F.max(F.when(wanted[anchor].isNotNull(), last_id)).alias("last_id"),
-        )
+        side.groupBy(*PAIR, "lane")
+        .agg(*[F.min(v).alias(k) for k, v in wanted.items()])
         .withColumn("slice", F.floor(F.col("lane") / _SALTS))
     )
     later = Window.partitionBy(*PAIR).orderBy(-F.col("slice")).rangeBetween(
         Window.unboundedPreceding, -1
     )
-    peers = Window.partitionBy(*PAIR, "slice")
     carry = {k: F.min(k).over(later) for k in wanted}
-    # In a salted instant an anchor also precedes the anchors of higher id in other lanes.
-    carry[anchor] = F.when(
-        F.col("last_id") < F.max("last_id").over(peers), F.max(anchor).over(peers)
-    ).otherwise(carry[anchor])
-    # One row per lane of a hot timeline: bounded like the slices are.
-    carried = lanes.select(*PAIR, "lane", *[v.alias(f"{k}__carry") for k, v in carry.items()])
-    out = out.join(F.broadcast(carried), [*PAIR, "lane"], "left")
-    return out.select(
-        *df.columns,
-        *[F.coalesce(F.col(k), F.col(f"{k}__carry")).alias(k) for k in wanted],
-    )
+    if anchor:
+        # In a salted instant an anchor also precedes the higher ids in the other lanes.
+        last = F.max(F.coalesce(F.col("event_id"), F.lit("\U0010ffff"))).alias("last_id")
+        salted = side.filter(F.col("salted") & wanted[anchor].isNotNull())
+        lanes = lanes.join(salted.groupBy(*PAIR, "lane").agg(last), [*PAIR, "lane"], "left")
+        peers = Window.partitionBy(*PAIR, "slice")
+        carry[anchor] = F.when(
+            F.col("last_id") < F.max("last_id").over(peers), F.max(anchor).over(peers)
+        ).otherwise(carry[anchor])
+    return lanes.select(*PAIR, "lane", *[v.alias(f"{k}__carry") for k, v in carry.items()])

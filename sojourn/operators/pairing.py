@@ -14,7 +14,7 @@ from .lanes import SkewPolicy, hot_timelines  # noqa: F401  (part of this module
 
 
 def _timeline(events: DataFrame, kinds: list[str], hot) -> tuple:
-    """Events of ``kinds`` with keys cast and trimmed, and the test for being matchable.
+    """Events of ``kinds`` with keys and lanes, those of hot timelines, and what can match.
 
     ``kind`` is the position in ``kinds``: the anchor is 0, and of two events at the same
     time the one with the lower kind does not match the other.
@@ -31,7 +31,7 @@ def _timeline(events: DataFrame, kinds: list[str], hot) -> tuple:
         F.col("user_id").isNotNull() & F.col("mentor_id").isNotNull() & F.col("at").isNotNull()
     )
     rows = rows.filter(usable | (F.col("kind") == 0))
-    return lanes.assign(rows, hot, usable), usable
+    return *lanes.assign(rows, hot, usable), usable
 
 
 def _at(kind: int):
@@ -44,9 +44,9 @@ def sessions(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     ``hot`` comes from :func:`hot_timelines` and only changes how the work is spread.
     """
     start, end = 0, 1
-    rows, usable = _timeline(events, ["session_started", "session_ended"], hot)
-    seen = lanes.next_of(
-        rows, "next_start", {"next_start": _at(start), "next_end": _at(end)}, hot
+    rows, side, usable = _timeline(events, ["session_started", "session_ended"], hot)
+    seen, _ = lanes.next_of(
+        rows, side, {"next_start": _at(start), "next_end": _at(end)}, anchor="next_start"
     )
     inside = usable & (
         F.col("next_start").isNull() | (F.col("next_end") < F.col("next_start"))
@@ -67,31 +67,25 @@ def bookings(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     counts as cancelled, at the time of the confirmation.
     """
     request, confirm, cancel, session = range(4)
-    rows, usable = _timeline(
+    rows, side, usable = _timeline(
         events,
         ["booking_requested", "booking_confirmed", "booking_cancelled", "session_started"],
         hot,
     )
-    seen = lanes.next_of(
+    rows, side = lanes.next_of(
         rows,
-        "next_request",
+        side,
         {
             "next_request": _at(request),
             "next_cancel": _at(cancel),
             "next_session": _at(session),
         },
-        hot,
+        anchor="next_request",
     )
     # A confirmation brings along the first session after it.
     confirmation = F.struct(F.col("at").alias("at"), F.col("next_session").alias("session"))
-    seen = lanes.next_of(
-        seen,
-        "request_again",
-        {
-            "request_again": _at(request),
-            "confirm": F.when(F.col("kind") == confirm, confirmation),
-        },
-        hot,
+    seen, _ = lanes.next_of(
+        rows, side, {"confirm": F.when(F.col("kind") == confirm, confirmation)}
     )
 
     def inside(t):

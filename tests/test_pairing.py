@@ -132,7 +132,7 @@ def test_hot_lanes_spread_rows(spark):
     rows = mixed_log(8)
     log = spark.createDataFrame(rows, SCHEMA)
     hot = hot_timelines(log, SkewPolicy(share=1 / 4, min_rows=20, grid=512))
-    spread, _ = pairing._timeline(log, list(EVENT_TYPES), hot)
+    spread, _, _ = pairing._timeline(log, list(EVENT_TYPES), hot)
     sizes = [
         r["count"] for r in spread.filter(F.col("user_id") == 7777).groupBy("lane").count().collect()
     ]
