@@ -34,7 +34,7 @@ class SkewPolicy:
     share: float = 1 / 1000
     min_rows: int = 1_000_000
     grid: int = 2048
-    boundary_rows: int = 4_000_000
+    boundary_rows: int = 1_000_000
 
     @property
     def max_hot(self) -> int:

@@ -77,6 +77,27 @@ def with_sanity(df: DataFrame, rate: str = "rebooking_rate_pct", n: str = "total
     )
 
 
+# The headings reports are shown with.
+HEADINGS = {
+    "mentor_tier": "Tier",
+    "total_users": "Total Users",
+    "users_rebooked": "Rebooked",
+    "rebooking_rate_pct": "Rate (%)",
+    "ci_lower_pct": "95% CI Lower",
+    "ci_upper_pct": "95% CI Upper",
+    "confirmation_rate_pct": "Confirmed (%)",
+    "no_show_rate_pct": "No-show (%)",
+    "cancellation_rate_pct": "Cancelled (%)",
+}
+
+
+def titled(report: DataFrame) -> DataFrame:
+    """The columns of a report that have a heading, under that heading."""
+    return report.select(
+        *[F.col(c).alias(HEADINGS[c]) for c in report.columns if c in HEADINGS]
+    )
+
+
 _COUNTS = ["total_bookings", "confirmed_count", "cancelled_count", "no_show_count",
            "pending_count"]
 

@@ -148,6 +148,12 @@ def rebooking_ci(spark, sf_dir):
     return analysis.with_wilson(_rate(spark, sf_dir, ["Gold"], ["Silver", "Bronze"], 3))
 
 
+@query
+def rebooking_titled(spark, sf_dir):
+    rate = _rate(spark, sf_dir, ["Bronze"], ["Gold", "Silver"], 1)
+    return analysis.titled(analysis.with_sanity(rate))
+
+
 @query
 def rebooking_sanity(spark, sf_dir):
     return analysis.with_sanity(
