@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,6 +53,11 @@ def minutes_between(start: Column, end: Column) -> Column:
     return ((minute(end) - minute(start)) / F.lit(60_000_000)).cast("long")
 
 
+def wall_time(t: datetime | None) -> Column:
+    """A zone-less time as it stands, whatever the zone of the host or the session."""
+    return F.lit(t and t.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def days_after(t: Column, days: int) -> Column:
     return t + F.make_dt_interval(F.lit(int(days)))
 

@@ -49,6 +49,8 @@ def hot_timelines(events: DataFrame, policy: SkewPolicy = SkewPolicy()) -> DataF
     of the candidates' rows: they only decide where a timeline is cut, every row is still
     placed in its slice.
     """
+    if events.count() < policy.min_rows:
+        return None
     spark = events.sparkSession
     keyed = (
         events.select(

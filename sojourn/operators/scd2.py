@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import wall_time
+
 _META = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
 
@@ -18,7 +20,7 @@ def apply(snapshot: DataFrame | None, source: DataFrame, key: str, check_cols: l
     opens another; a key missing from the source closes its open row. Changes in the other
     columns alone leave the stored row as it is. ``source`` holds each key once.
     """
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = wall_time(as_of)
     fields = source.columns
     fresh = [
         F.md5(F.concat_ws("|", F.col(key).cast("string"), now.cast("string"))).alias(_META[0]),

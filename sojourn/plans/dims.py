@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import hash_key
+from ..functions.columns import hash_key, wall_time
 from ..operators.dedup import first_per_key
 
 
 def now() -> datetime:
-    from datetime import timezone
-
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
 def stamp(as_of: datetime | None):
-    return F.lit(as_of or now()).cast("timestamp_ntz").alias("inserted_at")
+    return wall_time(as_of or now()).alias("inserted_at")
 
 
 def stg_users(raw_users: DataFrame) -> DataFrame:

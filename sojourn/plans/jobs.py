@@ -5,9 +5,10 @@ from __future__ import annotations
 import logging
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions.columns import wall_time
 from ..operators import pairing, scd2
 from ..operators.lanes import SkewPolicy
 from ..params import EVENT_TYPES, Params
@@ -72,17 +73,18 @@ def ingest_events(wh: Warehouse, path: str, batch: int | None = None) -> int:
     return new
 
 
-def events_to_pair(wh: Warehouse) -> DataFrame:
+def events_to_pair(wh: Warehouse) -> tuple[DataFrame, int | None]:
     """Events of every timeline that got events since the facts were last built.
 
     The other timelines have all their rows in the facts already, and stored rows never
     change. Facts are stored under the number of the newest event batch they were built
-    from; that batch counts as new once more, in case it was added to.
+    from; that batch counts as new once more, in case it was added to. The second value is
+    the first batch that counts as new, or None if all events are to be paired.
     """
     events = wh.read("raw_events", with_batch=True)
     built = [wh.batches(t) for t in ("fct_sessions", "fct_bookings")]
     if not all(built):
-        return events.drop("batch")
+        return events.drop("batch"), None
     since = min(b[-1] for b in built)
     pair = [F.col("user_id").cast("bigint"), F.trim("mentor_id")]
     fresh = (
@@ -93,7 +95,20 @@ def events_to_pair(wh: Warehouse) -> DataFrame:
     touched = events.join(fresh, (pair[0] == F.col("u")) & (pair[1] == F.col("m")), "left_semi")
     # Read several times below, so the join is paid for once.
     wh.replace(touched.drop("batch"), "touched_events")
-    return wh.latest("touched_events")
+    return wh.latest("touched_events"), since
+
+
+def new_between(wh: Warehouse, since: int | None, kind: str, column: str) -> Column | None:
+    """The range of ``column`` that new facts of ``kind`` lie in; None for no limit."""
+    if since is None:
+        return None
+    span = (
+        wh.read("raw_events", with_batch=True)
+        .filter((F.col("batch") >= since) & (F.col("event_type") == kind))
+        .agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high"))
+        .first()
+    )
+    return F.col(column).between(wall_time(span.low), wall_time(span.high))
 
 
 def transform(wh: Warehouse, params: Params, as_of: datetime | None = None,
@@ -108,13 +123,15 @@ def transform(wh: Warehouse, params: Params, as_of: datetime | None = None,
     wh.replace(scd2.apply(before, sheet, "mentor_id", ["tier"], as_of), "snap_mentors")
     wh.replace(dims.mentors(wh.latest("snap_mentors")), "dim_mentors")
 
-    events = events_to_pair(wh)
+    events, since = events_to_pair(wh)
     newest = max(wh.batches("raw_events"), default=None)
     hot = pairing.hot_timelines(events, policy)
     sessions = facts.sessions(pairing.sessions(events, hot), params.default_minutes, as_of)
-    wh.append_new(sessions, "fct_sessions", "session_hk", null_keys=False, batch=newest)
+    wh.append_new(sessions, "fct_sessions", "session_hk", null_keys=False, batch=newest,
+                  within=new_between(wh, since, "session_started", "started_at"))
     bookings = facts.bookings(pairing.bookings(events, hot), as_of)
-    wh.append_new(bookings, "fct_bookings", "booking_hk", null_keys=False, batch=newest)
+    wh.append_new(bookings, "fct_bookings", "booking_hk", null_keys=False, batch=newest,
+                  within=new_between(wh, since, "booking_requested", "requested_at"))
     return row_counts(marts(wh))
 
 

@@ -24,9 +24,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared folder the cluster names, or ``fallback`` where it names none."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if not path:
-        raise ValueError("spark.checkpoint.dir is not set and no fallback was given")
-    return path
+def shared_dir(spark: SparkSession) -> str | None:
+    """The folder the cluster names for data all executors must see; None where it names none."""
+    return spark.conf.get("spark.checkpoint.dir", None)

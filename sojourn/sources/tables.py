@@ -10,17 +10,24 @@ from __future__ import annotations
 import time
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.append import unseen
+from ..session import shared_dir
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, database: str = "lifecycle",
                  location: str | None = None):
-        """``location`` is where a new database keeps its tables: storage all executors see."""
+        """``location`` is where a new database keeps its tables: storage all executors see.
+
+        Without it, the shared folder the cluster names, else the catalog's own place.
+        """
         self.spark, self.database = spark, database
+        shared = shared_dir(spark)
+        if location is None and shared:
+            location = f"{shared.rstrip('/')}/{database}"
         where = f" LOCATION '{location}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -66,16 +73,22 @@ class Warehouse:
         return seen.get["n"]
 
     def append_new(self, staged: DataFrame, table: str, key: str, null_keys: bool = True,
-                   batch: int | None = None) -> int:
+                   batch: int | None = None, within: Column | None = None) -> int:
         """Add staged rows whose key the table does not hold; return how many.
 
         ``staged`` holds each key once where ``null_keys`` are kept. The first load takes
         every row. Stored rows never change, also not when a batch is repeated.
+
+        ``within`` is a range that all new rows lie in, over a column their key determines:
+        stored rows outside need not be read to find out what is new.
         """
         batch = new_batch() if batch is None else batch
         stored = self.batches(table)
         if stored:
-            staged = unseen(staged, self.read(table), key, null_keys, distinct=True)
+            held = self.read(table)
+            if within is not None:
+                staged, held = staged.filter(within), held.filter(within)
+            staged = unseen(staged, held, key, null_keys, distinct=True)
         return self._write(staged, table, batch, overwrite=batch not in stored)
 
     def replace(self, df: DataFrame, table: str, batch: int | None = None) -> int:

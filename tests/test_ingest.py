@@ -263,6 +263,14 @@ def test_unknown_types_are_stored_and_reported(wh, tmp_path, caplog):
     assert "'ping': 1" in caplog.text and "1 of the dropped events are bookings" in caplog.text
 
 
+def test_tables_live_in_the_shared_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("sojourn.sources.tables.shared_dir", lambda _: str(tmp_path))
+    wh = Warehouse(spark, "shared_db")
+    jobs.ingest_mentors(wh, write_all(tmp_path)["mentors"], batch=1)
+    assert (tmp_path / "shared_db" / "raw_mentors" / "batch=1").is_dir()
+    spark.sql("DROP DATABASE shared_db CASCADE")
+
+
 def test_reset_and_counts(wh, tmp_path):
     src = write_all(tmp_path)
     jobs.ingest_users(wh, src["users"])
