@@ -52,6 +52,8 @@ def ingest_mentors(wh: Warehouse, path: str, batch: int | None = None) -> int:
     without = sheet.filter(F.col("tier").isNull()).count()
     if without:
         raise preflight.SourceRejected(f"{path}: {without} rows with null tier")
+    for message in wh.warn_if_exists("raw_mentors"):
+        log.info(message)
     return wh.replace(sheet, "raw_mentors", batch=batch)
 
 
@@ -182,9 +184,12 @@ def analyse(wh: Warehouse, params: Params) -> dict[str, DataFrame]:
     m = marts(wh)
     rate = analysis.rebooking(m["fct_sessions"], m["dim_mentors"], params.group_a,
                               params.group_b, params.window_days)
+    report = analysis.reliability(m["fct_bookings"], m["dim_mentors"])
     return {
         "rebooking": analysis.with_sanity(analysis.with_wilson(rate)),
-        "reliability": analysis.reliability(m["fct_bookings"], m["dim_mentors"]),
+        "reliability": report,
+        "reliability_total": analysis.reliability_total(report),
+        "reliability_pivot": analysis.reliability_pivot(report, params.known_tiers),
         "intent": analysis.intent(m["fct_sessions"], m["fct_bookings"], m["dim_mentors"]),
     }
 

@@ -70,7 +70,12 @@ class Warehouse:
             rows.select(*target).write.insertInto(self.name(table), overwrite=overwrite)
         else:
             rows.write.partitionBy("batch").format("parquet").saveAsTable(self.name(table))
-        return seen.get["n"]
+        n = seen.get["n"]
+        if not n:  # a batch without rows is a batch too
+            self.spark.sql(
+                f"ALTER TABLE {self.name(table)} ADD IF NOT EXISTS PARTITION (batch = {batch})"
+            )
+        return n
 
     def append_new(self, staged: DataFrame, table: str, key: str, null_keys: bool = True,
                    batch: int | None = None, within: Column | None = None) -> int:
@@ -84,7 +89,7 @@ class Warehouse:
         """
         batch = new_batch() if batch is None else batch
         stored = self.batches(table)
-        if stored:
+        if stored and not self.read(table).isEmpty():
             held = self.read(table)
             if within is not None:
                 staged, held = staged.filter(within), held.filter(within)

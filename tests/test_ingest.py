@@ -16,9 +16,9 @@ from sojourn.sources.tables import Warehouse, row_counts
 
 
 @pytest.fixture
-def wh(spark, request):
+def wh(spark, request, tmp_path_factory):
     name = f"db_{abs(hash(request.node.nodeid)) % 10**9}"
-    yield Warehouse(spark, name)
+    yield Warehouse(spark, name, str(tmp_path_factory.mktemp("warehouse")))
     spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
@@ -234,6 +234,22 @@ def test_mentors_are_replaced(wh, tmp_path):
     assert len(wh.batches("raw_mentors")) == 2
 
 
+def test_replacing_with_nothing_leaves_nothing(spark, wh):
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    assert wh.replace(df, "t", batch=1) == 1
+    assert wh.replace(df.limit(0), "t", batch=2) == 0
+    assert wh.latest("t").count() == 0
+    assert wh.replace(wh.latest("t").union(df), "t", batch=3) == 1
+    assert wh.batches("t") == [2, 3] and wh.latest("t").first().v == 1
+
+
+def test_first_rows_after_an_empty_load(spark, wh):
+    df = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    assert wh.append_new(df.limit(0), "t", "k", null_keys=False, batch=1) == 0
+    assert wh.append_new(df, "t", "k", null_keys=False, batch=2) == 2
+    assert wh.append_new(df, "t", "k", null_keys=False, batch=3) == 0
+
+
 def test_mentors_without_tier_change_nothing(wh, tmp_path):
     path = write_all(tmp_path)["mentors"]
     jobs.ingest_mentors(wh, path)

@@ -14,15 +14,14 @@ AT = datetime(2025, 6, 1)
 GOLD_SILVER = Params(group_b=("Silver",))
 
 
-def make(spark, name):
-    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
-    return Warehouse(spark, name)
+def make(spark, name, folder):
+    return Warehouse(spark, name, str(folder / "warehouse"))
 
 
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("full")
-    wh = make(spark, "full_run")
+    wh = make(spark, "full_run", folder)
     log = str(folder / "log")
     out = jobs.run(wh, Params(), write_all(folder), log_path=log, as_of=AT)
     return wh, out, log
@@ -57,6 +56,7 @@ def test_second_run_adds_nothing(built, tmp_path):
     wh, _, log = built
     out = jobs.run(wh, Params(), write_all(tmp_path), log_path=log, as_of=AT)
     assert (out["new_users"], out["new_events"]) == (0, 0)
+    assert jobs.events_to_pair(wh)[1] is not None, "no bookings, and still built"
     assert {r.table: r.rows for r in out["row_counts"].collect()} == {
         "dim_users": 10, "dim_mentors": 3, "fct_sessions": 16, "fct_bookings": 0}
 
@@ -66,6 +66,19 @@ def test_analysis_only(built):
     assert out["dq_passed"] and out["rebooking"].count() == 2
 
 
+def test_command_line(built, spark, tmp_path, capsys):
+    from sojourn.__main__ import main
+
+    settings = tmp_path / "settings.yaml"
+    settings.write_text("rebooking: {tiers_group_b: [Silver], window_days: null}")
+    main(["--mode", "analysis-only", "--database", "full_run", "--settings", str(settings)])
+    shown = capsys.readouterr().out
+    assert "|Gold       |4          |3             |75.0" in shown
+    assert "warning: Silver: directional only" in shown
+    with pytest.raises(SystemExit):
+        main(["--mode", "full"])
+
+
 def test_run_log(built, spark):
     _, _, log = built
     rows = runlog.history(runlog.read(spark, log)).collect()
@@ -80,7 +93,7 @@ def test_failed_run_is_recorded(spark, tmp_path):
     log = str(tmp_path / "log")
     src = write_all(tmp_path) | {"events": str(tmp_path / "none.json")}
     with pytest.raises(ValueError, match="not found"):
-        jobs.run(make(spark, "failing"), Params(), src, log_path=log)
+        jobs.run(make(spark, "failing", tmp_path), Params(), src, log_path=log)
     row = runlog.read(spark, log).filter("status = 'failed'").first()
     assert "not found" in row.error_message and row.new_users_ingested == 10
     assert runlog.history(runlog.read(spark, log)).first().status == "failed"
@@ -97,8 +110,8 @@ def test_history_pages(spark, tmp_path):
     assert (page(0), page(1)) == ([3, 2], [1])
 
 
-def test_bad_calls(spark):
-    wh = make(spark, "bad_calls")
+def test_bad_calls(spark, tmp_path):
+    wh = make(spark, "bad_calls", tmp_path)
     with pytest.raises(ValueError, match="mode"):
         jobs.run(wh, mode="nothing")
     with pytest.raises(ValueError, match="exclusive"):
@@ -120,7 +133,7 @@ def booking_log():
 
 
 def test_late_events_change_no_stored_row(spark, tmp_path):
-    wh = make(spark, "late")
+    wh = make(spark, "late", tmp_path)
     early, late = booking_log()
     src = write_all(tmp_path, early)
     jobs.run(wh, Params(), src, "ingest-only")
@@ -154,7 +167,7 @@ def test_late_events_change_no_stored_row(spark, tmp_path):
     jobs.ingest_events(wh, write_json(tmp_path / "more.json", more))
     jobs.transform(wh, Params(), AT)
     jobs.transform(wh, Params(), AT)
-    assert {r.user_id for r in wh.latest("touched_events").collect()} == {1, 3}
+    assert {r.user_id for r in wh.latest("touched_events").collect()} == {3}
     assert wh.read("fct_sessions").count() == 5
 
 
@@ -170,7 +183,7 @@ def test_checks_on_pairs_need_no_pairing(spark):
 
 
 def test_tier_change_moves_users(spark, tmp_path):
-    wh = make(spark, "tiers")
+    wh = make(spark, "tiers", tmp_path)
     src = write_all(tmp_path)
     jobs.run(wh, GOLD_SILVER, src, as_of=AT)
     write_csv(tmp_path / "mentors.csv", ["mentor_id", "tier", "hourly_rate"],
@@ -184,7 +197,7 @@ def test_tier_change_moves_users(spark, tmp_path):
 
 
 def test_unknown_type_fails_the_gate(spark, tmp_path):
-    wh = make(spark, "gate")
+    wh = make(spark, "gate", tmp_path)
     log = events() + [{"event_id": "u", "user_id": 1, "mentor_id": "M1",
                        "timestamp": "2025-01-01T00:00:00Z", "event_type": "ping"}]
     with pytest.raises(quality.CheckFailed, match="accepted_values on raw_events.event_type"):

@@ -11,7 +11,7 @@ from sojourn.streaming.events import ingest, read_lines
 
 
 def test_stream_equals_batch(spark, tmp_path):
-    wh = Warehouse(spark, "streamed")
+    wh = Warehouse(spark, "streamed", str(tmp_path / "warehouse"))
     src = write_all(tmp_path)
     jobs.ingest_users(wh, src["users"])
     jobs.ingest_mentors(wh, src["mentors"])
