@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,7 @@ from .common import arrow_map, slices, stage
 #: Tokens in a sequence; the id that ends a document.
 CAPACITY, END = 2048, 0
 #: Words whose ids a task remembers.
-_KNOWN = 1_000_000
+_KNOWN = 800_000
 _SIGNS = b".,;:!?#$%&*()-"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -53,10 +53,16 @@ class WordEncoder:
         if len(self.known) + len(self.parts) > _KNOWN:
             self.known.clear()
             self.parts.clear()
-        new = {w: _cut(w) for words in split for w in words if w not in self.known}
-        self._encode(list({x for pair in new.values() for x in pair if x and x not in self.parts}))
-        for word, (core, signs) in new.items():
-            self.known[word] = self.parts[core] + self.parts[signs] if signs else self.parts[core]
+        known, parts = self.known, self.parts
+        new = [w for words in split for w in words if w not in known]
+        cores = {w: w.rstrip(_SIGNS) for w in new}
+        cut = {w: core for w, core in cores.items() if len(core) < len(w) and _ends(core, w)}
+        whole = cores.keys() - cut.keys()
+        self._encode([x for x in {*whole, *cut.values(), *(w[len(c) :] for w, c in cut.items())} if x not in parts])
+        for word in whole:
+            known[word] = parts[word]
+        for word, core in cut.items():
+            known[word] = parts[core] + parts[word[len(core) :]]
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
@@ -65,17 +71,22 @@ class WordEncoder:
             chunk = parts[at : at + 4096]
             found = self.model.encode_batch_fast([x.decode() for x in chunk], add_special_tokens=False)
             for part, got in zip(chunk, found):
-                ids = got.ids
-                self.parts[part] = struct.pack(f"<{len(ids)}I", *ids)
+                self.parts[part] = array("I", got.ids).tobytes()
 
 
-def _cut(word: bytes) -> tuple[bytes, bytes]:
-    """A word and the signs after its last letter, where a token is sure to end between them."""
-    core = word.rstrip(_SIGNS)
-    if core and core != word and b"'" not in word and b"<|" not in word:
-        if core[-1] < 128 and core[-1:].isalpha() or core[-1] >= 128 and core.decode()[-1].isalpha():
-            return core, word[len(core) :]
-    return word, b""
+def _ends(core: bytes, word: bytes) -> bool:
+    """Whether a token is sure to end where the signs after a word's last letter begin."""
+    if not core or b"'" in word or b"<|" in word:
+        return False
+    return 97 <= core[-1] <= 122 or 65 <= core[-1] <= 90 or core[-1] >= 128 and core.decode()[-1].isalpha()
+
+
+def _encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a worker process, so that words met by one are known to the next."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_word_encoders", {})
+    return kept[path] if path in kept else kept.setdefault(path, WordEncoder(path))
 
 
 def tokenized(
@@ -95,7 +106,7 @@ def tokenized(
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = WordEncoder(path)
+        encoder = _encoder(path)
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
         for batch in slices(batches):

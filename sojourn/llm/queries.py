@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, packing, pii, quality, toxicity
+from . import html, language, licenses, minhash, mixing, packing, pii, quality, toxicity, vectors
 from .common import stage, table
 
 QUERIES = {}
@@ -70,4 +70,25 @@ def op9_toxicity(spark, sf_dir):
 @query
 def op10_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
-    return mixing.mixed(docs).select("doc_id", "size", "source_size", "target", "taken", "position")
+    return mixing.mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op1_licenses(spark, sf_dir):
+    return licenses.scanned(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op2_vectors(spark, sf_dir):
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding")).drop("recall")
+
+
+@query
+def op3_html(spark, sf_dir):
+    return html.extracted(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return language.predicted(docs, language.learned(docs))
