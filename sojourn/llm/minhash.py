@@ -124,6 +124,24 @@ def links(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE, percent: int
     return arrow_map(both, run, "a long, b long").distinct()
 
 
+def rare_shingles(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(doc_id, rare): how many shingles of a text are in no other one; ids of several texts are left out."""
+
+    def run(batches):
+        hasher = RangeHash()
+        for batch in slices(batches, 64):
+            found = [shingles(spaced_words(t), size, hasher).view(np.int64) for t in batch["text"].to_pylist()]
+            owner = np.repeat(np.asarray(batch["doc_id"]), [len(x) for x in found])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(owner), pa.array(np.concatenate(found))], names=["doc_id", "shingle"]
+            )
+
+    each = arrow_map(texts, run, "doc_id long, shingle long")
+    rare = each.groupBy("shingle").agg(F.count("*").alias("c"), F.min("doc_id").alias("doc_id")).where("c = 1")
+    single = texts.groupBy("doc_id").agg(F.count("*").alias("c")).where("c = 1").select("doc_id")
+    return rare.groupBy("doc_id").agg(F.count("*").alias("rare")).join(single, "doc_id")
+
+
 def near_duplicates(
     docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, n_bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -201,16 +219,25 @@ def _rest(buckets: DataFrame, found: DataFrame, texts: DataFrame, size: int, per
         "split",
     )
     members = stage(at.join(split, ["band", "key"]), "split-members")
+    alone = rare_shingles(texts.join(members.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi"), size)
+    # What only one text has no other can share: the rest bounds every intersection.
+    members = stage(
+        members.join(alone, members["head"] == alone["doc_id"], "left")
+        .withColumn("c", F.col("n") - F.coalesce("rare", F.lit(0)))
+        .where(f"100 * c >= {percent} * n")
+        .drop("doc_id", "rare"),
+        "members-left",
+    )
     # The largest part of a bucket meets all others; among the others each pair comes once.
     other = members.where("component <> main").select(
-        "band", "key", F.col("head").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("of_b")
-    )
+        "band", "key", F.col("head").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"),
+        F.col("component").alias("of_b"),
+    )
     pairs = (
-        members.select("band", "key", F.col("head").alias("a"), F.col("n").alias("n_a"), "component", "main")
+        members.select("band", "key", F.col("head").alias("a"), F.col("n").alias("n_a"), "c", "component", "main")
         .join(other, ["band", "key"])
         .where("component <> of_b AND (component = main OR a < b)")
-        # Sizes too far apart cannot be similar enough.
-        .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+        .where(f"100 * least(c, c_b) >= {percent} * (n_a + n_b - least(c, c_b))")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
