@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from .params import Params
 from .plans import jobs
-from .session import configure
+from .session import configure, shared_dir
 from .sources.tables import Warehouse
 
 REPORTS = ("row_counts", "rebooking", "reliability", "reliability_total", "intent")
@@ -30,7 +30,9 @@ def main(argv: list[str] | None = None) -> dict:
 
     spark = configure(SparkSession.builder.appName("sojourn").getOrCreate())
     params = Params.from_yaml(args.settings) if args.settings else Params()
-    location = args.location or params.warehouse
+    # Each environment has a root of its own, in the folder all executors share if there is one.
+    root = "/".join(x for x in (shared_dir(spark), params.warehouse_path) if x)
+    location = args.location or params.warehouse or root
     wh = Warehouse(spark, args.database, location)
     out = jobs.run(wh, params, sources, args.mode, args.log)
     for warning in out["warnings"]:

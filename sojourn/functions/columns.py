@@ -26,7 +26,7 @@ def title_case(c: Column) -> Column:
 
 def whole_number(c: Column) -> Column:
     """Parse a plain signed integer; anything else, blanks around it included, is NULL."""
-    return F.when(c.rlike(r"^[+-]?\d+$"), c.try_cast("bigint"))
+    return F.when(c.rlike(r"^[+-]?\d+\z"), c.try_cast("bigint"))
 
 
 def lenient_time(c: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import wall_time
+from .dedup import first_per_key
 
 _META = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
@@ -18,8 +19,10 @@ def apply(snapshot: DataFrame | None, source: DataFrame, key: str, check_cols: l
 
     A key without an open row opens one; a change in ``check_cols`` closes the open row and
     opens another; a key missing from the source closes its open row. Changes in the other
-    columns alone leave the stored row as it is. ``source`` holds each key once.
+    columns alone leave the stored row as it is. Of a key's several rows in ``source`` the
+    least one counts, and of several open rows in the snapshot the newest; the others are closed.
     """
+    source = first_per_key(source, [key], [F.col(c) for c in source.columns if c != key])
     now = wall_time(as_of)
     fields = source.columns
     fresh = [

@@ -65,17 +65,19 @@ class Params:
         return f"warehouse{suffix}"
 
     def check(self) -> "Params":
-        """Raise ``ValueError`` on settings that contradict each other; else return self."""
-        for name in ("group_a", "group_b"):
-            if not getattr(self, name):
-                raise ValueError(f"{name} must contain at least one tier")
-        both = sorted(set(self.group_a) & set(self.group_b))
-        if both:
-            raise ValueError(f"tier groups must be mutually exclusive, both hold {both}")
-        if self.default_minutes <= 0:
-            raise ValueError("default_minutes must be > 0")
-        if self.window_days is not None and self.window_days <= 0:
-            raise ValueError("window_days must be > 0 or None")
+        """Raise ``ValueError`` naming every rule the settings break; else return self."""
+        shared = sorted({*self.group_a} & {*self.group_b})
+        broken = {
+            "group_a names no tier": not self.group_a,
+            "group_b names no tier": not self.group_b,
+            f"groups must be exclusive but share {shared}": bool(shared),
+            f"default_minutes is {self.default_minutes}, not positive": self.default_minutes <= 0,
+            f"window_days is {self.window_days}, neither positive nor None": self.window_days is not None
+            and self.window_days <= 0,
+        }
+        found = [rule for rule, holds in broken.items() if holds]
+        if found:
+            raise ValueError("; ".join(found))
         return self
 
     def to_json(self) -> str:
@@ -93,11 +95,8 @@ class Params:
 
     @classmethod
     def from_yaml(cls, path: str) -> "Params":
-        """Read a YAML settings file; without the file or a YAML reader, use the defaults."""
-        try:
-            import yaml
+        """Read a YAML settings file. A file that is named must be there and be readable."""
+        import yaml
 
-            with open(path, encoding="utf-8") as handle:
-                return cls.from_mapping(yaml.safe_load(handle) or {})
-        except (ImportError, FileNotFoundError):
-            return cls()
+        with open(path, encoding="utf-8") as handle:
+            return cls.from_mapping(yaml.safe_load(handle) or {})

@@ -3,23 +3,22 @@
 from __future__ import annotations
 
 import logging
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.columns import wall_time
 from ..operators import pairing, scd2
 from ..operators.lanes import SkewPolicy
 from ..params import EVENT_TYPES, Params
 from ..sources import files, normalize, preflight, runlog
-from ..sources.tables import Warehouse, new_batch, row_counts
+from ..sources.tables import Warehouse, row_counts
 from . import analysis, dims, facts, quality
 
 log = logging.getLogger(__name__)
 
 TABLES = ["raw_users", "raw_mentors", "raw_events", "snap_mentors", "dim_users",
-          "dim_mentors", "fct_sessions", "fct_bookings", "touched_events"]
+          "dim_mentors", "fct_sessions", "fct_bookings", "touched_events", "paired_batches"]
 MODES = ("full", "ingest-only", "transform-only", "analysis-only")
 
 
@@ -45,10 +44,14 @@ def ingest_users(wh: Warehouse, path: str, batch: int | None = None) -> int:
 
 
 def ingest_mentors(wh: Warehouse, path: str, batch: int | None = None) -> int:
-    """Replace the mentor sheet, unless a tier is missing."""
+    """Replace the mentor sheet, unless a tier is missing or a mentor is named twice."""
     required = {"mentor_id", "tier", "hourly_rate"}
     preflight.gate(path, preflight.csv_issues(wh.spark, path, required))
     sheet = normalize.mentors(files.read_mentors(wh.spark, path))
+    dup = preflight.duplicate_keys(sheet, "mentor_id").first()
+    if dup.duplicate_rows:
+        raise preflight.SourceRejected(
+            f"{path}: {dup.duplicate_rows} of {dup.total_rows} rows repeat a mentor_id")
     without = sheet.filter(F.col("tier").isNull()).count()
     if without:
         raise preflight.SourceRejected(f"{path}: {without} rows with null tier")
@@ -62,35 +65,47 @@ def ingest_events(wh: Warehouse, path: str, batch: int | None = None) -> int:
     issues, layout = preflight.json_report(wh.spark, path)
     preflight.gate(path, issues)
     raw = files.read_events(wh.spark, path, layout)
-    batch = new_batch() if batch is None else batch
+    dup = preflight.duplicate_keys(raw.filter("event_id IS NOT NULL"), "event_id").first()
+    if dup.duplicate_rows:
+        log.warning("%s: %s of %s rows repeat an event_id", path, dup.duplicate_rows, dup.total_rows)
     seen = Observation()
-    new = wh.append_new(normalize.events(raw, seen), "raw_events", "event_id", batch=batch)
+    new = store_events(wh, normalize.events(raw, seen), batch)
     _dropped(seen, "events")
     if seen.get["booking_dropped"]:
         log.warning("%s of the dropped events are bookings", seen.get["booking_dropped"])
-    stored = wh.read("raw_events", with_batch=True).filter(F.col("batch") == batch)
-    unknown = normalize.unknown_types(stored)
-    for row in unknown.limit(100).collect():
+    # About the whole file, so a replay says the same; streamed to the log, however many there are.
+    for row in normalize.unknown_types(normalize.events(raw)).toLocalIterator():
         log.warning("unknown event_type %r: %s events", row.event_type, row.n)
     return new
 
 
-def events_to_pair(wh: Warehouse) -> tuple[DataFrame, int | None]:
+def store_events(wh: Warehouse, typed: DataFrame, batch: int | None = None) -> int:
+    """Add events not seen before. A batch that is added to later counts as not paired again."""
+    if batch is not None and wh.batches("paired_batches"):
+        paired = [r.event_batch for r in wh.latest("paired_batches").collect()]
+        if batch in paired:
+            mark_paired(wh, [b for b in paired if b != batch])
+    return wh.append_new(typed, "raw_events", "event_id", batch=batch)
+
+
+def events_to_pair(wh: Warehouse) -> tuple[DataFrame, list[int] | None]:
     """Events of every timeline that got events since the facts were last built.
 
     The other timelines have all their rows in the facts already, and stored rows never
-    change. Facts are stored under the number of the newest event batch they were built
-    from; that batch counts as new once more, in case it was added to. The second value is
-    the first batch that counts as new, or None if all events are to be paired.
+    change. Which event batches the facts were built from is kept in ``paired_batches``, so
+    batches may be numbered in any order; the last one paired counts as new once more, in case
+    it was added to. The second value lists the batches that count as new, or is None if all
+    events are to be paired.
     """
     events = wh.read("raw_events", with_batch=True)
-    built = [wh.batches(t) for t in ("fct_sessions", "fct_bookings")]
-    if not all(built):
+    if not all(wh.batches(t) for t in ("fct_sessions", "fct_bookings", "paired_batches")):
         return events.drop("batch"), None
-    since = min(b[-1] for b in built)
+    done = wh.latest("paired_batches").collect()
+    old = {r.event_batch for r in done if not r.last}
+    since = [b for b in wh.batches("raw_events") if b not in old]
     pair = [F.col("user_id").cast("bigint"), F.trim("mentor_id")]
     fresh = (
-        events.filter((F.col("batch") >= since) & F.col("event_type").isin(list(EVENT_TYPES)))
+        events.filter(F.col("batch").isin(since) & F.col("event_type").isin(list(EVENT_TYPES)))
         .select(pair[0].alias("u"), pair[1].alias("m"))
         .distinct()
     )
@@ -100,17 +115,37 @@ def events_to_pair(wh: Warehouse) -> tuple[DataFrame, int | None]:
     return wh.latest("touched_events"), since
 
 
-def new_between(wh: Warehouse, since: int | None, kind: str, column: str) -> Column | None:
-    """The range of ``column`` that new facts of ``kind`` lie in; None for no limit."""
+def mark_paired(wh: Warehouse, batches: list[int]) -> None:
+    """Record that the facts hold what these event batches give."""
+    last = max(batches, default=None)
+    rows = [(b, b == last) for b in batches]
+    frame = wh.spark.createDataFrame(rows, "event_batch bigint, last boolean")
+    wh.replace(frame, "paired_batches")
+
+
+def new_between(wh: Warehouse, since: list[int] | None, kind: str, column: str,
+                most: int = 32) -> Column | None:
+    """Ranges of ``column`` that new facts of ``kind`` lie in; None for no limit.
+
+    The days with new events, joined over their smallest gaps to ``most`` ranges: one very old
+    event adds its own day, not all that lies between.
+    """
     if since is None:
         return None
-    span = (
-        wh.read("raw_events", with_batch=True)
-        .filter((F.col("batch") >= since) & (F.col("event_type") == kind))
-        .agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high"))
-        .first()
-    )
-    return F.col(column).between(wall_time(span.low), wall_time(span.high))
+    days = [
+        r.day for r in wh.read("raw_events", with_batch=True)
+        .filter(F.col("batch").isin(since) & (F.col("event_type") == kind))
+        .select(F.to_date("timestamp").alias("day")).distinct()
+        .filter("day IS NOT NULL").orderBy("day").collect()
+    ]
+    gaps = sorted(range(1, len(days)), key=lambda i: days[i - 1] - days[i])[: most - 1]
+    cuts = [0, *sorted(gaps), len(days)]
+    ranges = [(days[a], days[b - 1] + timedelta(days=1)) for a, b in zip(cuts, cuts[1:]) if a < b]
+    within = F.lit(False)
+    for low, high in ranges:
+        at = [F.lit(str(d)).cast("timestamp_ntz") for d in (low, high)]
+        within = within | ((F.col(column) >= at[0]) & (F.col(column) < at[1]))
+    return within
 
 
 def transform(wh: Warehouse, params: Params, as_of: datetime | None = None,
@@ -125,8 +160,9 @@ def transform(wh: Warehouse, params: Params, as_of: datetime | None = None,
     wh.replace(scd2.apply(before, sheet, "mentor_id", ["tier"], as_of), "snap_mentors")
     wh.replace(dims.mentors(wh.latest("snap_mentors")), "dim_mentors")
 
+    known = wh.batches("raw_events")
     events, since = events_to_pair(wh)
-    newest = max(wh.batches("raw_events"), default=None)
+    newest = max(known, default=None)
     hot = pairing.hot_timelines(events, policy)
     sessions = facts.sessions(pairing.sessions(events, hot), params.default_minutes, as_of)
     wh.append_new(sessions, "fct_sessions", "session_hk", null_keys=False, batch=newest,
@@ -134,6 +170,7 @@ def transform(wh: Warehouse, params: Params, as_of: datetime | None = None,
     bookings = facts.bookings(pairing.bookings(events, hot), as_of)
     wh.append_new(bookings, "fct_bookings", "booking_hk", null_keys=False, batch=newest,
                   within=new_between(wh, since, "booking_requested", "requested_at"))
+    mark_paired(wh, known)
     return row_counts(marts(wh))
 
 
@@ -173,8 +210,7 @@ def validate(wh: Warehouse, params: Params) -> list[str]:
         return quality.evaluate(checks(wh, params))
     except quality.CheckFailed as failure:
         if "configured_tiers" in str(failure):
-            tiers = quality.available_tiers(wh.latest("dim_mentors")).limit(100).collect()
-            names = [r.tier for r in tiers]
+            names = [r.tier for r in quality.available_tiers(wh.latest("dim_mentors")).toLocalIterator()]
             raise quality.CheckFailed(f"{failure}; available tiers: {names}") from failure
         raise
 

@@ -26,7 +26,8 @@ def with_position(df: DataFrame) -> DataFrame:
 
 
 def _csv(spark: SparkSession, path: str) -> DataFrame:
-    return with_position(spark.read.csv(path, header=True, inferSchema=False))
+    # A quote inside a quoted field is doubled.
+    return with_position(spark.read.csv(path, header=True, inferSchema=False, escape='"'))
 
 
 def read_users(spark: SparkSession, path: str) -> DataFrame:
@@ -41,8 +42,11 @@ def read_events(spark: SparkSession, path: str, layout: str = "records") -> Data
     """Read events as text fields, numbers in ``user_id`` included.
 
     ``records``: a JSON array of flat objects or one object per line, read in blocks.
+    ``lines``: one object per line, whatever it holds, read in blocks.
     ``array``: any JSON array, one task per file; for text that holds a ``}``.
     """
+    if layout == "lines":
+        return with_position(spark.read.schema(EVENT_SCHEMA).json(path))
     if layout == "array":
         df = spark.read.schema(EVENT_SCHEMA).json(path, multiLine=True)
         return with_position(df)

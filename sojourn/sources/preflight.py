@@ -36,7 +36,17 @@ def csv_issues(spark: SparkSession, path: str, required: set[str]) -> list[str]:
     issues = _missing(spark, path) or encoding_issues(spark, path)
     if issues:
         return issues
-    df = spark.read.csv(path, header=True)
+    lines = spark.read.text(path)
+    quotes = F.length(F.regexp_replace("value", '[^"]', ""))
+    # A file's first line is its header: one row per file, then one row.
+    first = with_position(lines).groupBy("pos.file").agg(F.min_by("value", "pos").alias("header"))
+    headers = first.agg(F.count_distinct("header").alias("n")).first().n
+    if headers > 1:
+        issues.append(f"[file] {path}: files with {headers} different headers")
+    torn = lines.filter(quotes % 2 == 1).count()
+    if torn:
+        issues.append(f"[file] {path}: {torn} line(s) with an unbalanced quote; fields must not span lines")
+    df = spark.read.csv(path, header=True, escape='"')
     absent = sorted(set(required) - set(df.columns))
     if absent:
         issues.append(f"[file] {path}: missing columns {absent}")
@@ -49,8 +59,9 @@ def json_report(spark: SparkSession, path: str) -> tuple[list[str], str]:
     """Issues of an event file, and the layout to read it with.
 
     The block-wise reading splits at closing braces. A split inside a text value always
-    leaves a piece that does not parse, so a file without such pieces is read correctly; any
-    other file is parsed as a whole before it is called broken.
+    leaves a piece that does not parse, so a file without such pieces is read correctly. Other
+    files are read by lines if every line is an object; what is left is parsed as a whole
+    before it is called broken.
     """
     issues = _missing(spark, path)
     if issues:
@@ -103,6 +114,8 @@ def json_report(spark: SparkSession, path: str) -> tuple[list[str], str]:
         if found.records:
             return [], "records"
         return [f"[file] {path}: empty JSON array"], "records"
+    if _all_lines_are_objects(spark, path):
+        return [], "lines"
     whole = (
         spark.read.schema(EVENT_SCHEMA + ", bad string")
         .option("columnNameOfCorruptRecord", "bad")
@@ -122,6 +135,18 @@ def json_report(spark: SparkSession, path: str) -> tuple[list[str], str]:
     return issues, "array"
 
 
+def _all_lines_are_objects(spark: SparkSession, path: str) -> bool:
+    """Whether every line that is not blank is a JSON object of its own."""
+    line = F.regexp_replace("value", r"^\s+|\s+$", "")
+    parsed = F.from_json(
+        line, EVENT_SCHEMA + ", bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"}
+    )
+    rows = spark.read.text(path).select(line.alias("line"), parsed["bad"].isNull().alias("sound"))
+    odd = F.col("line").rlike(r"^[^{]") | ~F.col("sound")
+    seen = rows.filter("line <> ''").agg(F.count("*").alias("n"), F.count_if(odd).alias("odd")).first()
+    return bool(seen.n) and not seen.odd
+
+
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """``total_rows`` and ``duplicate_rows``; a missing key counts as the empty text."""
     k = F.coalesce(F.col(key).cast("string"), F.lit(""))

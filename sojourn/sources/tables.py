@@ -28,8 +28,10 @@ class Warehouse:
         shared = shared_dir(spark)
         if location is None and shared:
             location = f"{shared.rstrip('/')}/{database}"
-        where = f" LOCATION '{location}'" if location else ""
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
+        if location is None and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("name a location, or set spark.checkpoint.dir: all executors must see the tables")
+        where = " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
     def name(self, table: str) -> str:

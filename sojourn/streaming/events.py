@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,21 +27,23 @@ def read_lines(spark: SparkSession, path: str, files_per_batch: int = 1000) -> D
     )
 
 
-def ingest(wh: Warehouse, stream: DataFrame, checkpoint: str, first_batch: int = 1,
+def ingest(wh: Warehouse, stream: DataFrame, checkpoint: str, first_batch: int | None = None,
            params: Params | None = None, as_of: datetime | None = None,
            policy: SkewPolicy = SkewPolicy(), **trigger) -> StreamingQuery:
     """Append unseen events; with ``params`` also bring dimensions and facts up to date.
 
-    A micro-batch is stored under its own batch number, counted from ``first_batch``, which
-    must lie above the batches stored before the stream was first started. Spark repeats a
-    micro-batch that was lost, and events that are stored already are left out, so every
-    event is stored once.
+    A micro-batch is stored under its own batch number, counted from ``first_batch``; by default
+    the checkpoint's path gives the first one, so streams do not share numbers, among themselves
+    or with batch loads, and a micro-batch that Spark repeats gets its old number. Events that
+    are stored already are left out, so every event is stored once.
     """
+    if first_batch is None:
+        first_batch = (1 << 62) + (zlib.crc32(checkpoint.encode()) << 28)
 
     def step(rows: DataFrame, epoch: int) -> None:
         place = F.struct("file", "block", F.monotonically_increasing_id().alias("row"))
         typed = normalize.events(rows.withColumn("pos", place))
-        wh.append_new(typed, "raw_events", "event_id", batch=first_batch + epoch)
+        jobs.store_events(wh, typed, first_batch + epoch)
         if params is not None:
             jobs.transform(wh, params, as_of, policy)
 

@@ -1,26 +1,25 @@
-"""Small source files: ten users, three mentors, sixteen sessions of which two never end."""
+"""Small source files: nine users, four mentors, fifteen sessions of which two never end."""
 
 import json
 from datetime import datetime, timedelta
 
 USERS = [
-    (1, 10, "2024-01-01", "active"), (2, 10, "2024-01-02", "active"),
-    (3, 20, "2024-01-03", "active"), (4, 20, "2024-01-04", "churned"),
-    (5, 10, "2024-02-01", "active"), (6, 10, "2024-02-05", "active"),
-    (7, 20, "2024-02-10", "active"), (8, 30, "2024-02-15", "churned"),
-    (9, 30, "2024-02-20", "active"), (10, 30, "2024-02-25", "active"),
-    (1, 10, "2024-01-01", "active"),
+    (101, 7, "2023-05-11", "trial"), (102, 7, "2023-05-30", "active"),
+    (103, 8, "2023-06-02", "active"), (104, 9, "2023-06-02", "paused"),
+    (101, 7, "2023-05-11", "trial"), (105, 9, "2023-07-19", "active"),
+    (106, 8, "2023-08-08", "active"), (107, 9, "2023-09-27", "paused"),
+    (108, 7, "2023-11-01", "active"), (109, 8, "2023-12-24", "active"),
 ]
-MENTORS = [("M1", "Gold", 200), ("M2", "Silver", 100), ("M3", "Bronze", 75)]
-# user, mentor, session days
+MENTORS = [("K7", "Gold", 150), ("K8", "Silver", 90), ("K4", "Silver", 85), ("K9", "Bronze", 60)]
+# user, mentor, first session, days from it to the next ones
 SESSIONS = [
-    (1, "M1", ["2025-01-01", "2025-01-20"]), ("2", "M1", ["2025-01-02"]),
-    (3, "M2", ["2025-01-03", "2025-01-15"]), (4, "M2", ["2025-01-04"]),
-    (5, "M1", ["2025-01-05", "2025-02-15"]), (6, "M1", ["2025-02-01", "2025-02-20"]),
-    (7, "M2", ["2025-02-10", "2025-03-05"]), (8, "M3", ["2025-01-10", "2025-03-01"]),
-    (9, "M2", ["2025-03-10"]), (10, "M3", ["2025-03-15"]),
+    (101, "K7", "2025-04-01", [10]), ("102", "K7", "2025-04-02", []),
+    (103, "K7", "2025-04-03", [78]), (104, "K8", "2025-04-05", [20]),
+    (105, "K8", "2025-04-06", []), (106, "K4", "2025-05-01", [8, 29]),
+    (107, "K9", "2025-05-02", []), (108, "K9", "2025-05-03", [73]),
+    (109, "K8", "2025-05-04", []),
 ]
-NEVER_END = {9, 10}
+NEVER_END = {107, 109}
 
 
 def events():
@@ -30,12 +29,12 @@ def events():
         out.append({"event_id": f"e{len(out) + 1:02d}", "user_id": user, "mentor_id": mentor,
                     "timestamp": when.strftime("%Y-%m-%dT%H:%M:%SZ"), "event_type": kind})
 
-    for user, mentor, days in SESSIONS:
-        for day in days:
-            start = datetime.fromisoformat(day) + timedelta(hours=10)
+    for user, mentor, first, later in SESSIONS:
+        for day in [0, *later]:
+            start = datetime.fromisoformat(first) + timedelta(days=day, hours=16, minutes=15)
             add(user, mentor, start, "session_started")
             if user not in NEVER_END:
-                add(user, mentor, start + timedelta(minutes=30), "session_ended")
+                add(user, mentor, start + timedelta(minutes=45), "session_ended")
     return out
 
 

@@ -34,9 +34,9 @@ def test_columns(spark):
     assert apply(spark, strip, ["\t a b \n", " x ", None]) == ["a b", "x", None]
     assert apply(spark, title_case, ["gold", "GOLD-plus 2nd", "", None]) == [
         "Gold", "Gold-Plus 2nd", "", None]
-    assert apply(spark, whole_number, ["12", "+5", "-7", "12.5", " 12 ", "x", "", None,
+    assert apply(spark, whole_number, ["12", "+5", "-7", "12.5", " 12 ", "12\n", "x", "", None,
                                        "99999999999999999999"]) == [
-        12, 5, -7, None, None, None, None, None, None]
+        12, 5, -7, None, None, None, None, None, None, None]
 
 
 def test_minutes_between_counts_boundaries(spark):
@@ -76,7 +76,8 @@ def test_csv_issues(spark, tmp_path):
         ('[{"event_id": "a"},]', "not valid JSON", "array"),
         ('[{"event_id": "a"} {"event_id": "b"}]', "not valid JSON", "array"),
         ('[{"event_id": "a"}', "not valid JSON", "array"),
-        ('{"event_id": {"x": 1}}', "must be a JSON array", "array"),
+        ('{"event_id": {"x": 1}}', None, "lines"),
+        ('{"event_id": "a"}\n[1]', "must be a JSON array", "array"),
         ("not json", "not valid JSON", "array"),
     ],
 )
@@ -112,9 +113,9 @@ def test_read_events_keeps_mixed_user_ids(spark, tmp_path, layout):
     ]
     raw = files.read_events(spark, write_json(tmp_path / "e.json", records), layout)
     ids = {r.event_id: r.user_id for r in raw.collect()}
-    assert len(ids) == 32
-    assert (ids["e01"], ids["e05"], ids["n"]) == ("1", "2", None)
-    assert normalize.events(raw).count() == 30
+    assert len(ids) == 30
+    assert (ids["e01"], ids["e05"], ids["n"]) == ("101", "102", None)
+    assert normalize.events(raw).count() == 28
 
 
 def test_position_survives_small_blocks(spark, tmp_path):
@@ -186,11 +187,11 @@ def test_unseen_null_keys(spark):
 
 def test_ingest_is_idempotent(wh, tmp_path):
     src = write_all(tmp_path)
-    assert jobs.ingest_users(wh, src["users"]) == 10
+    assert jobs.ingest_users(wh, src["users"]) == 9
     assert jobs.ingest_users(wh, src["users"]) == 0
-    assert jobs.ingest_events(wh, src["events"]) == 30
+    assert jobs.ingest_events(wh, src["events"]) == 28
     assert jobs.ingest_events(wh, src["events"]) == 0
-    assert wh.read("raw_users").count() == 10
+    assert wh.read("raw_users").count() == 9
     assert wh.read("raw_events").filter("user_id IS NULL").count() == 0
     assert wh.read("raw_events").columns == [
         "event_id", "user_id", "mentor_id", "timestamp", "event_type"]
@@ -198,14 +199,14 @@ def test_ingest_is_idempotent(wh, tmp_path):
 
 def test_a_batch_can_be_repeated(wh, tmp_path):
     src = write_all(tmp_path)
-    assert jobs.ingest_events(wh, src["events"], batch=1) == 30
+    assert jobs.ingest_events(wh, src["events"], batch=1) == 28
     assert jobs.ingest_events(wh, src["events"], batch=1) == 0
     more = write_json(tmp_path / "more.json", events() + [
         {"event_id": "new", "user_id": 1, "mentor_id": "M1",
          "timestamp": "2025-05-01T00:00:00Z", "event_type": "session_started"}])
     assert jobs.ingest_events(wh, more, batch=2) == 1
     assert jobs.ingest_events(wh, more, batch=2) == 0
-    assert wh.read("raw_events").count() == 31
+    assert wh.read("raw_events").count() == 29
     assert wh.batches("raw_events") == [1, 2]
 
 
@@ -221,12 +222,12 @@ def test_leftovers_of_a_lost_job_are_overwritten(spark, wh, tmp_path):
         {"event_id": "new", "user_id": 1, "mentor_id": "M1",
          "timestamp": "2025-05-01T00:00:00Z", "event_type": "session_started"}])
     assert jobs.ingest_events(wh, more, batch=2) == 1
-    assert wh.read("raw_events").count() == 31
+    assert wh.read("raw_events").count() == 29
 
 
 def test_mentors_are_replaced(wh, tmp_path):
     path = write_all(tmp_path)["mentors"]
-    assert jobs.ingest_mentors(wh, path) == 3
+    assert jobs.ingest_mentors(wh, path) == 4
     write_csv(tmp_path / "mentors.csv", ["mentor_id", "tier", "hourly_rate"], MENTORS[:2])
     for _ in range(3):
         assert jobs.ingest_mentors(wh, path) == 2
@@ -259,7 +260,7 @@ def test_mentors_without_tier_change_nothing(wh, tmp_path):
     write_csv(tmp_path / "mentors.csv", ["mentor_id", "tier", "hourly_rate"], [("M1", None, 1)])
     with pytest.raises(ValueError, match="null tier"):
         jobs.ingest_mentors(wh, path)
-    assert wh.latest("raw_mentors").count() == 3
+    assert wh.latest("raw_mentors").count() == 4
 
 
 def test_missing_sources_are_rejected(wh, tmp_path):
@@ -275,8 +276,52 @@ def test_unknown_types_are_stored_and_reported(wh, tmp_path, caplog):
                       {"event_id": "v", "user_id": "?", "mentor_id": "M1",
                        "timestamp": "2025-01-01T00:00:00Z", "event_type": "booking_requested"}]
     with caplog.at_level("WARNING"):
-        assert jobs.ingest_events(wh, write_json(tmp_path / "e.json", log)) == 31
-    assert "'ping': 1" in caplog.text and "1 of the dropped events are bookings" in caplog.text
+        assert jobs.ingest_events(wh, write_json(tmp_path / "e.json", log)) == 29
+        assert jobs.ingest_events(wh, str(tmp_path / "e.json")) == 0
+    assert caplog.text.count("'ping': 1") == 2, "on a replay too"
+    assert "event_id" not in caplog.text and "1 of the dropped events are bookings" in caplog.text
+
+
+def test_reports_are_whole(wh, tmp_path, caplog):
+    kind = lambda i: {"event_id": f"k{i}", "user_id": 101, "mentor_id": "K7",
+                      "timestamp": "2025-01-01T00:00:00Z", "event_type": f"odd{i % 130}"}
+    with caplog.at_level("WARNING"):
+        jobs.ingest_events(wh, write_json(tmp_path / "e.json", [kind(i) for i in range(135)] + [kind(0)]))
+    assert caplog.text.count("unknown event_type") == 130
+    assert "1 of 136 rows repeat an event_id" in caplog.text
+
+
+def test_mentors_named_twice_change_nothing(wh, tmp_path):
+    path = write_all(tmp_path)["mentors"]
+    jobs.ingest_mentors(wh, path)
+    write_csv(tmp_path / "mentors.csv", ["mentor_id", "tier", "hourly_rate"], [*MENTORS, ("K7 ", "Silver", 1)])
+    with pytest.raises(ValueError, match="1 of 5 rows repeat a mentor_id"):
+        jobs.ingest_mentors(wh, path)
+    assert wh.latest("raw_mentors").count() == 4
+
+
+def test_quotes_and_headers(spark, tmp_path):
+    f = tmp_path / "q.csv"
+    f.write_text('user_id,company_id,status\n1,2,"on ""hold"", late"\n')
+    assert files.read_users(spark, str(f)).first().status == 'on "hold", late'
+    assert preflight.csv_issues(spark, str(f), {"user_id"}) == []
+    f.write_text('user_id,company_id,status\n1,2,"on\nhold"\n')
+    assert "unbalanced quote" in preflight.csv_issues(spark, str(f), {"user_id"})[0]
+    folder = tmp_path / "two"
+    folder.mkdir()
+    (folder / "a.csv").write_text("user_id,company_id\n1,2\n")
+    (folder / "b.csv").write_text("company_id,user_id\n1,2\n")
+    assert "different headers" in preflight.csv_issues(spark, str(folder), {"user_id"})[0]
+
+
+def test_lines_with_braces_in_texts(spark, tmp_path):
+    f = tmp_path / "e.json"
+    rows = [{"event_id": "a}1", "user_id": 1, "mentor_id": "M}", "timestamp": "t", "event_type": "x", "more": {"y": {}}},
+            {"event_id": "b", "user_id": "2", "mentor_id": None, "timestamp": "t", "event_type": "x"}]
+    f.write_text("\n".join(json.dumps(r) for r in rows) + "\n")
+    assert preflight.json_report(spark, str(f)) == ([], "lines")
+    got = files.read_events(spark, str(f), "lines").orderBy("pos").collect()
+    assert [(r.event_id, r.user_id, r.mentor_id) for r in got] == [("a}1", "1", "M}"), ("b", "2", None)]
 
 
 def test_tables_live_in_the_shared_folder(spark, tmp_path, monkeypatch):
@@ -293,10 +338,10 @@ def test_reset_and_counts(wh, tmp_path):
     jobs.ingest_mentors(wh, src["mentors"])
     frames = {t: wh.read(t) for t in ("raw_users", "raw_mentors")}
     assert {r.table: r.rows for r in row_counts(frames).collect()} == {
-        "raw_users": 10, "raw_mentors": 3}
+        "raw_users": 9, "raw_mentors": 4}
     assert wh.warn_if_exists("raw_users") and not wh.warn_if_exists("fct_sessions")
     assert wh.reset(jobs.TABLES, "empty") == ["raw_users", "raw_mentors"]
     assert wh.exists("raw_users") and wh.read("raw_users").count() == 0
-    assert jobs.ingest_users(wh, src["users"]) == 10
+    assert jobs.ingest_users(wh, src["users"]) == 9
     assert wh.reset(jobs.TABLES) == ["raw_users", "raw_mentors"]
     assert not wh.exists("raw_users")

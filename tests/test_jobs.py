@@ -10,7 +10,7 @@ from sojourn.plans import analysis, jobs, quality
 from sojourn.sources import runlog
 from sojourn.sources.tables import Warehouse
 
-AT = datetime(2025, 6, 1)
+AT = datetime(2025, 8, 1)
 GOLD_SILVER = Params(group_b=("Silver",))
 
 
@@ -34,22 +34,22 @@ def rates(wh, params):
 
 def test_full_run(built):
     wh, out, _ = built
-    assert (out["new_users"], out["new_events"], out["dq_passed"]) == (10, 30, True)
+    assert (out["new_users"], out["new_events"], out["dq_passed"]) == (9, 28, True)
     counts = {r.table: r.rows for r in out["row_counts"].collect()}
-    assert counts == {"dim_users": 10, "dim_mentors": 3, "fct_sessions": 16, "fct_bookings": 0}
+    assert counts == {"dim_users": 9, "dim_mentors": 4, "fct_sessions": 15, "fct_bookings": 0}
     assert wh.read("fct_sessions").filter("is_duration_estimated").count() == 2
     assert len(out["warnings"]) == 2 and all("directional" in w for w in out["warnings"])
     assert out["reliability"].count() == 0
     intent = {r.tier_group: tuple(r[1:3]) for r in out["intent"].collect()}
-    assert intent == {"Gold": (4, 0), "Silver/Bronze": (6, 0)}
+    assert intent == {"Gold": (3, 0), "Silver/Bronze": (6, 0)}
 
 
 def test_rates_for_any_groups_and_windows(built):
     wh = built[0]
-    assert rates(wh, GOLD_SILVER) == {"Gold": (4, 2, 50.0), "Silver": (4, 2, 50.0)}
-    assert rates(wh, Params()) == {"Gold": (4, 2, 50.0), "Silver/Bronze": (6, 2, 33.3)}
+    assert rates(wh, GOLD_SILVER) == {"Gold": (3, 1, 33.3), "Silver": (4, 2, 50.0)}
+    assert rates(wh, Params()) == {"Gold": (3, 1, 33.3), "Silver/Bronze": (6, 2, 33.3)}
     assert rates(wh, Params(window_days=None)) == {
-        "Gold": (4, 3, 75.0), "Silver/Bronze": (6, 3, 50.0)}
+        "Gold": (3, 2, 66.7), "Silver/Bronze": (6, 3, 50.0)}
 
 
 def test_second_run_adds_nothing(built, tmp_path):
@@ -58,7 +58,7 @@ def test_second_run_adds_nothing(built, tmp_path):
     assert (out["new_users"], out["new_events"]) == (0, 0)
     assert jobs.events_to_pair(wh)[1] is not None, "no bookings, and still built"
     assert {r.table: r.rows for r in out["row_counts"].collect()} == {
-        "dim_users": 10, "dim_mentors": 3, "fct_sessions": 16, "fct_bookings": 0}
+        "dim_users": 9, "dim_mentors": 4, "fct_sessions": 15, "fct_bookings": 0}
 
 
 def test_analysis_only(built):
@@ -73,7 +73,7 @@ def test_command_line(built, spark, tmp_path, capsys):
     settings.write_text("rebooking: {tiers_group_b: [Silver], window_days: null}")
     main(["--mode", "analysis-only", "--database", "full_run", "--settings", str(settings)])
     shown = capsys.readouterr().out
-    assert "|Gold       |4          |3             |75.0" in shown
+    assert "|Gold       |3          |2             |66.7" in shown
     assert "warning: Silver: directional only" in shown
     with pytest.raises(SystemExit):
         main(["--mode", "full"])
@@ -85,7 +85,7 @@ def test_run_log(built, spark):
     assert rows[-1].run_id == 1 and rows[-1].status == "success"
     assert (rows[-1].group_a, rows[-1].group_b, rows[-1].window_days) == (
         "Gold", "Silver/Bronze", 30)
-    assert (rows[-1].new_users, rows[-1].dq_passed, rows[-1].warnings) == (10, True, 2)
+    assert (rows[-1].new_users, rows[-1].dq_passed, rows[-1].warnings) == (9, True, 2)
     assert len({r.run_id for r in rows}) == len(rows)
 
 
@@ -95,7 +95,7 @@ def test_failed_run_is_recorded(spark, tmp_path):
     with pytest.raises(ValueError, match="not found"):
         jobs.run(make(spark, "failing", tmp_path), Params(), src, log_path=log)
     row = runlog.read(spark, log).filter("status = 'failed'").first()
-    assert "not found" in row.error_message and row.new_users_ingested == 10
+    assert "not found" in row.error_message and row.new_users_ingested == 9
     assert runlog.history(runlog.read(spark, log)).first().status == "failed"
     assert runlog.next_run_id(spark, log) == 2
     assert runlog.next_run_id(spark, str(tmp_path / "nolog")) == 1
@@ -119,7 +119,7 @@ def test_bad_calls(spark, tmp_path):
 
 
 def booking_log():
-    def e(i, user, minute, kind, mentor="M1"):
+    def e(i, user, minute, kind, mentor="K7"):
         return {"event_id": f"x{i}", "user_id": user, "mentor_id": mentor, "event_type": kind,
                 "timestamp": f"2025-01-01T10:{minute:02d}:00Z"}
 
@@ -129,7 +129,7 @@ def booking_log():
         e(5, 2, 20, "booking_requested"), e(6, 2, 21, "booking_confirmed"),
         e(7, 2, 40, "session_started"),
     ], [e(8, 1, 30, "session_ended"), e(9, 1, 31, "booking_cancelled"),
-        e(10, 1, 50, "session_started"), e(11, 3, 5, "booking_requested", "M2")]
+        e(10, 1, 50, "session_started"), e(11, 3, 5, "booking_requested", "K8")]
 
 
 def test_late_events_change_no_stored_row(spark, tmp_path):
@@ -162,7 +162,7 @@ def test_late_events_change_no_stored_row(spark, tmp_path):
     assert wh.read("fct_sessions").count() == 4 and wh.read("fct_bookings").count() == 3
 
     # Only timelines with news are paired again.
-    more = [{"event_id": "z", "user_id": 3, "mentor_id": "M2", "event_type": "session_started",
+    more = [{"event_id": "z", "user_id": 3, "mentor_id": "K8", "event_type": "session_started",
              "timestamp": "2025-01-02T10:00:00Z"}]
     jobs.ingest_events(wh, write_json(tmp_path / "more.json", more))
     jobs.transform(wh, Params(), AT)
@@ -187,22 +187,22 @@ def test_tier_change_moves_users(spark, tmp_path):
     src = write_all(tmp_path)
     jobs.run(wh, GOLD_SILVER, src, as_of=AT)
     write_csv(tmp_path / "mentors.csv", ["mentor_id", "tier", "hourly_rate"],
-              [("M1", "Silver", 1), *MENTORS[1:]])
+              [("K7", "Silver", 1), *MENTORS[1:]])
     out = jobs.run(wh, GOLD_SILVER, src, as_of=datetime(2025, 7, 1))
-    assert wh.latest("dim_mentors").count() == 4
+    assert wh.latest("dim_mentors").count() == 5
     assert [r.mentor_tier for r in out["rebooking"].collect()] == ["Silver"]
     history = analysis.rebooking(wh.read("fct_sessions"), wh.latest("dim_mentors"),
                                  ["Silver"], ["Bronze"]).collect()
-    assert {r.mentor_tier: r.total_users for r in history} == {"Silver": 8, "Bronze": 2}
+    assert {r.mentor_tier: r.total_users for r in history} == {"Silver": 7, "Bronze": 2}
 
 
 def test_unknown_type_fails_the_gate(spark, tmp_path):
     wh = make(spark, "gate", tmp_path)
-    log = events() + [{"event_id": "u", "user_id": 1, "mentor_id": "M1",
+    log = events() + [{"event_id": "u", "user_id": 101, "mentor_id": "K7",
                        "timestamp": "2025-01-01T00:00:00Z", "event_type": "ping"}]
     with pytest.raises(quality.CheckFailed, match="accepted_values on raw_events.event_type"):
         jobs.run(wh, Params(), write_all(tmp_path, log))
-    assert wh.read("raw_events").count() == 31
+    assert wh.read("raw_events").count() == 29
 
 
 def test_unknown_tier_names_the_known_ones(built):

@@ -54,7 +54,8 @@ def test_from_yaml(tmp_path):
     f.write_text("rebooking:\n  window_days: 60\ndata_quality:\n  max_duration_minutes: 90\n")
     p = Params.from_yaml(str(f))
     assert (p.window_days, p.max_minutes) == (60, 90)
-    assert Params.from_yaml(str(tmp_path / "none.yaml")) == Params()
+    with pytest.raises(FileNotFoundError):
+        Params.from_yaml(str(tmp_path / "none.yaml"))
 
 
 def test_to_json():
