@@ -18,6 +18,8 @@ BUCKETS = GRAMS * (1 + len(DENSITIES))
 SAMPLE = 1500
 #: Passes of the fit, its step and its penalty.
 STEPS, STEP, PENALTY = 80, 0.05, 2e-3
+#: Features gone through at a time.
+_PART = 1 << 20
 #: Labelled rows whose crc32 of the id leaves 0 by FOLDS are held out.
 FOLDS = 5
 
@@ -83,23 +85,37 @@ def ratios(count: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.log(share[:, 1]) - np.log(share[:, 0])
 
 
-def fit(rows: list[np.ndarray], toxic: np.ndarray, ratio: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
+def fit(
+    found: np.ndarray, lengths: np.ndarray, toxic: np.ndarray, ratio: np.ndarray, prior: float
+) -> tuple[np.ndarray, float]:
     """Weights of the features (their ratios times what logistic regression learns) and the intercept.
 
-    The sample has its own share of toxic documents, so the intercept moves to the true ``prior``.
+    ``found`` has the documents' features one after the other, ``lengths`` how many each has; they
+    are gone through in parts, so that memory stays near their own size. The sample has its own
+    share of toxic documents, so the intercept moves to the true ``prior``.
     """
-    used, index = np.unique(np.concatenate([*rows, np.empty(0, np.int64)]), return_inverse=True)
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    used = np.flatnonzero(np.bincount(found, minlength=BUCKETS)) if len(found) else np.empty(0, np.int64)
+    place = np.zeros(BUCKETS, dtype=np.int32)
+    place[used] = np.arange(len(used))
+    n = len(lengths)
+    ends = np.cumsum(lengths)
+    cuts = np.unique([0, *np.searchsorted(ends, np.arange(_PART, ends[-1] if n else 0, _PART)), n])
+    parts = []
+    for a, b in zip(cuts, cuts[1:]):
+        rows = place[found[ends[a] - lengths[a] : ends[b - 1]]]
+        parts.append((a, b, rows, np.repeat(np.arange(b - a, dtype=np.int32), lengths[a:b])))
     value = ratio[used]
     weight, bias = np.ones(len(used)) * 0.1, 0.0
     moments = np.zeros((2, len(used) + 1))
     for t in range(1, STEPS + 1):
-        z = np.bincount(owner, weights=(weight * value)[index], minlength=len(rows)) + bias
-        error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic
-        grad = np.append(
-            np.bincount(index, weights=error[owner], minlength=len(used)) * value / len(rows) + PENALTY * weight,
-            error.mean(),
-        )
+        slope, total = np.zeros(len(used)), 0.0
+        now = weight * value
+        for a, b, rows, owner in parts:
+            z = np.bincount(owner, weights=now[rows], minlength=b - a) + bias
+            error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic[a:b]
+            slope += np.bincount(rows, weights=error[owner], minlength=len(used))
+            total += error.sum()
+        grad = np.append(slope * value / n + PENALTY * weight, total / n)
         moments[0] = 0.9 * moments[0] + 0.1 * grad
         moments[1] = 0.99 * moments[1] + 0.01 * grad * grad
         step = STEP * (moments[0] / (1 - 0.9**t)) / (np.sqrt(moments[1] / (1 - 0.99**t)) + 1e-8)
@@ -138,8 +154,10 @@ def learned(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> tuple[np.
 
     rows = arrow_map(chosen, run, "doc_id long, toxic int, found array<int>").toArrow()
     rows = rows.sort_by([("doc_id", "ascending")])
-    found = [x.values.to_numpy().astype(np.int64) for x in rows["found"]]
-    return fit(found, rows["toxic"].to_numpy().astype(float), ratios(count, n), n[1] / n.sum())
+    found = rows["found"].combine_chunks()
+    lengths = found.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    toxic = rows["toxic"].to_numpy().astype(float)
+    return fit(found.flatten().to_numpy(), lengths, toxic, ratios(count, n), n[1] / n.sum())
 
 
 def scored(docs: DataFrame, model: tuple[np.ndarray, float], folds: int = FOLDS) -> DataFrame:
