@@ -99,6 +99,19 @@ def scd2_returned(spark, sf_dir):
     return scd2.apply(m.supplier_snapshot(spark, sf_dir), one, "mentor_id", ["tier"], m.LAST)
 
 
+@query
+def scd2_duplicate_keys(spark, sf_dir):
+    """Sheets that name every mentor twice, the second time with a higher rate, three times in a row."""
+    doubled = [
+        v.unionByName(v.withColumn("hourly_rate", F.col("hourly_rate") + 1))
+        for v in m.supplier_versions(spark, sf_dir)
+    ]
+    rows = scd2.apply(None, doubled[0], "mentor_id", ["tier"], m.AS_OF)
+    for at in (m.LATER, m.LAST):
+        rows = scd2.apply(rows, doubled[1], "mentor_id", ["tier"], at)
+    return rows
+
+
 # --- analyses ----------------------------------------------------------------------------
 
 
@@ -227,6 +240,13 @@ def duplicate_key_count(spark, sf_dir):
     return preflight.duplicate_keys(m.table(spark, sf_dir, "orders"), "o_custkey")
 
 
+@query
+def event_duplicate_count(spark, sf_dir):
+    """Events delivered once, and those with errors once more."""
+    events = m.table(spark, sf_dir, "events")
+    return preflight.duplicate_keys(events.unionByName(events.filter("event_type = 'error'")), "event_id")
+
+
 # --- normalisation -----------------------------------------------------------------------
 
 
@@ -369,8 +389,7 @@ def table_row_counts(spark, sf_dir):
     )
 
 
-@query
-def run_history(spark, sf_dir):
+def _run_log(spark, sf_dir):
     """A run per hour of events, logged at its start and, if it had no error, at its end."""
     hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
     runs = m.table(spark, sf_dir, "events").groupBy(hour.alias("at")).agg(
@@ -406,5 +425,16 @@ def run_history(spark, sf_dir):
             "warnings": F.array_repeat(F.lit("w"), F.col("errors").cast("int")),
         }
     )
-    return runlog.history(start.unionByName(end).drop("errors", "n", "at"))
+    return start.unionByName(end).drop("errors", "n", "at")
+
+
+@query
+def run_history(spark, sf_dir):
+    return runlog.history(_run_log(spark, sf_dir))
+
+
+@query
+def run_history_page(spark, sf_dir):
+    """The third page of the history."""
+    return runlog.history(_run_log(spark, sf_dir), page=2, page_size=10)
 

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from suite.oracle import ORACLE
+from suite.queries import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -34,13 +36,13 @@ def _sorted(names, rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_result(spark, con, name):
-    df = entry.queries()[name](spark, SF_DIR)
-    cursor = con.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    cursor = con.execute(ORACLE[name])
     names = [d[0] for d in cursor.description]
     assert sorted(df.columns) == sorted(names)
     ours, theirs = _sorted(df.columns, df.collect()), _sorted(names, cursor.fetchall())
