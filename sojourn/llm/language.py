@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, slices
+from .common import arrow_map, mix, slices
 
 #: The field is fitted to at most so many documents of each language, and windows of so many words
 #: from each; the languages themselves are found in all labelled documents.
@@ -25,6 +25,8 @@ UNKNOWN = "und"
 #: Words whose scores a task remembers, and documents it reads at a time.
 _KNOWN, _ROWS = 200_000, 1024
 
+_U = np.uint64
+_PRIME = _U(0x100000001B3)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -37,15 +39,41 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == HELD, F.lit(True))
 
 
-def features(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Hashed features: affixes of up to three letters, n-grams of two and three, the word itself, and
-    the language its lexicon entry names."""
-    edged = f"^{word}$"
-    names = [f"p{word[:n]}" for n in (1, 2, 3)] + [f"s{word[-n:]}" for n in (1, 2, 3)] + [f"w{word}"]
-    names += {edged[i : i + n] for n in (2, 3) for i in range(len(edged) - n + 1)}
-    if word in lexicon:
-        names.append(f"l{lexicon[word]}")
-    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in names]
+def features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of words, one word's after the other's, and how many each has.
+
+    Affixes of up to three letters, n-grams of two and three with the word's edges, the word
+    itself, and the language that its lexicon entry names.
+    """
+    joined = "".join(f"^{w}$" for w in words)
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
+    last = np.cumsum(sizes) - 1
+    first, word = last - sizes + 1, np.arange(len(words))
+    owner = np.repeat(word, sizes)
+    two = codes[:-1] * _PRIME + codes[1:]
+    grams = {1: codes, 2: two, 3: two[:-1] * _PRIME + codes[2:]}
+    owners, hashes = [], []
+
+    def add(who: np.ndarray, values: np.ndarray, tag: int) -> None:
+        owners.append(who)
+        hashes.append(mix(values ^ _U(tag << 56)))
+
+    for n, values in grams.items():
+        if n > 1:
+            inside = owner[: len(values)] == owner[n - 1 :]
+            add(owner[: len(values)][inside], values[inside], n)
+        long = sizes - 2 >= n
+        add(word[long], values[first[long] + 1], 10 + n)
+        add(word[long], values[last[long] - n], 20 + n)
+    crc = (zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words)
+    add(word, np.fromiter(crc, dtype=np.uint64, count=len(words)), 30)
+    named = np.fromiter((lexicon.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+    add(word[named >= 0], named[named >= 0].astype(np.uint64), 31)
+    who = np.concatenate(owners)
+    order = np.argsort(who, kind="stable")
+    buckets = (np.concatenate(hashes) & _U(BUCKETS - 1)).astype(np.int64)
+    return buckets[order], np.bincount(who, minlength=len(words))
 
 
 class Field:
@@ -59,18 +87,18 @@ class Field:
         self.known: dict[str, int] = {}
         self.scores = np.zeros((0, n), dtype=np.float32)
 
-    def emissions(self, words: list[str]) -> np.ndarray:
-        """A row of scores for each word; words met before are not taken apart again."""
+    def emissions(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """A row of scores for each word of each text; words met before are not taken apart again."""
         if len(self.known) > _KNOWN:
             self.known, self.scores = {}, self.scores[:0]
-        new = {w for w in words if w not in self.known}
+        new = list({w for words in texts for w in words if w not in self.known})
         if new:
-            found = [features(w, self.lexicon) for w in new]
-            starts = np.cumsum([0, *map(len, found)])[:-1]
-            flat = np.fromiter((x for f in found for x in f), dtype=np.int64)
+            found, sizes = features(new, self.lexicon)
+            added = np.add.reduceat(self.weights[found], np.cumsum(sizes) - sizes, axis=0)
             self.known |= {w: len(self.scores) + k for k, w in enumerate(new)}
-            self.scores = np.concatenate([self.scores, np.add.reduceat(self.weights[flat], starts, axis=0)])
-        return self.scores[np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))]
+            self.scores = np.concatenate([self.scores, added])
+        get = self.known.__getitem__
+        return [self.scores[np.fromiter(map(get, words), dtype=np.int64, count=len(words))] for words in texts]
 
     def posteriors(self, rows: list[np.ndarray], pairs: bool = False):
         """Each row's probabilities of the labels by forward-backward, all rows step by step together.
@@ -138,7 +166,8 @@ def fit(samples: list[tuple[str, list[str]]], seed: int = 7) -> Field | None:
     for label, words in samples:
         cuts = np.sort(rng.integers(0, len(words) + 1, 2))
         pieces += [(labels.index(label), p) for p in np.split(np.array(words, dtype=object), cuts) if len(p)]
-    found = {w: np.array(features(w, lexicon)) for w in counts}
+    flat, sizes = features(list(counts), lexicon)
+    found = dict(zip(counts, np.split(flat, np.cumsum(sizes)[:-1])))
     past, past_t = np.full_like(field.weights, 1e-6), np.full_like(field.transitions, 1e-6)
     for _ in range(PASSES):
         order = rng.permutation(len(pieces))
@@ -214,7 +243,7 @@ def labelled_words(field: Field, text: str | None) -> list[tuple[str, str]]:
     words = words_of(text)
     if not words:
         return []
-    best = field.posteriors([field.emissions(words)])[0].argmax(axis=1)
+    best = field.posteriors(field.emissions([words]))[0].argmax(axis=1)
     return [(w, field.labels[k]) for w, k in zip(words, best)]
 
 
@@ -236,7 +265,7 @@ def predicted(docs: DataFrame, field: Field | None) -> DataFrame:
             rows = [(UNKNOWN, 0.0, 0)] * len(words)
             some = [i for i, w in enumerate(words) if w]
             if some:
-                said = own.posteriors([own.emissions(words[i]) for i in some])
+                said = own.posteriors(own.emissions([words[i] for i in some]))
                 for i, p in zip(some, said):
                     mean = p.mean(axis=0)
                     best = int(mean.argmax())
