@@ -179,7 +179,7 @@ def near_duplicates(
 
     star = buckets.where("head > least").groupBy(F.col("head").alias("b")).agg(F.min("least").alias("a"))
     edges = stage(links(star, texts, size, percent), "links")
-    edges = stage(edges.union(_rest(buckets, components(edges), texts, size, percent)), "links")
+    edges = stage(edges.union(_rest(buckets, classes, edges, texts, size, percent)), "links")
 
     heads = stage(
         classes.select("set_a", "set_b", F.col("head").alias("id"))
@@ -202,25 +202,18 @@ def near_duplicates(
     )
 
 
-def _rest(buckets: DataFrame, found: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links between members of a bucket that ``found`` does not connect; every such pair is compared."""
-    at = stage(
-        buckets.select("band", "key", "head", "n", F.col("head").alias("id"))
-        .join(found, "id", "left")
-        .select("band", "key", "head", "n", F.coalesce("component", "id").alias("component")),
-        "members",
-    )
-    parts = at.groupBy("band", "key", "component").agg(F.count("*").alias("c"))
-    split = stage(
-        parts.groupBy("band", "key")
-        .agg(F.max(F.struct("c", "component")).alias("most"), F.count("*").alias("parts"))
-        .where("parts > 1")
-        .select("band", "key", F.col("most.component").alias("main")),
-        "split",
-    )
-    members = stage(at.join(split, ["band", "key"]), "split-members")
+def _rest(
+    buckets: DataFrame, classes: DataFrame, edges: DataFrame, texts: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """Links between members of a bucket that ``edges`` do not connect.
+
+    What only one text has no other can share, so the rest of each text bounds its intersections
+    and rules most pairs out. In each bucket the member with the least of its own is compared with
+    the others; then every pair that is still apart and not ruled out is compared.
+    """
+    members, split = _apart(buckets.select("band", "key", "head", "n"), components(edges))
+    members = stage(members.join(split, ["band", "key"]).select("band", "key", "head", "n"), "split-members")
     alone = rare_shingles(texts.join(members.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi"), size)
-    # What only one text has no other can share: the rest bounds every intersection.
     members = stage(
         members.join(alone, members["head"] == alone["doc_id"], "left")
         .withColumn("c", F.col("n") - F.coalesce("rare", F.lit(0)))
@@ -228,20 +221,58 @@ def _rest(buckets: DataFrame, found: DataFrame, texts: DataFrame, size: int, per
         .drop("doc_id", "rare"),
         "members-left",
     )
-    # The largest part of a bucket meets all others; among the others each pair comes once.
+    possible = f"100 * least(c, c_b) >= {percent} * (n + n_b - least(c, c_b))"
+    central = stage(
+        members.groupBy("band", "key")
+        .agg(F.max(F.struct((F.col("c") / F.col("n")).alias("share"), (-F.col("head")).alias("b"), "n", "c")).alias("m"))
+        .select("band", "key", (-F.col("m.b")).alias("b"), F.col("m.n").alias("n_b"), F.col("m.c").alias("c_b")),
+        "central",
+    )
+    near = members.join(central, ["band", "key"]).where("head <> b").where(possible)
+    first = stage(links(stage(_ordered(near), "pairs"), texts, size, percent), "links")
+
+    members, split = _apart(members, components(edges.union(first)))
+    keys = classes.select(F.col("head").alias("id"), "keys")
+    members = members.join(split, ["band", "key"])
+    members = stage(
+        members.join(keys, members["head"] == keys["id"]).where(F.get("keys", "band") == F.col("key")).drop("id"),
+        "members-apart",
+    )
+    # The largest part of a bucket meets all others; among the others each pair comes once, and it
+    # comes in the first bucket that its two members share.
     other = members.where("component <> main").select(
         "band", "key", F.col("head").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"),
-        F.col("component").alias("of_b"),
+        F.col("component").alias("of_b"), F.col("keys").alias("keys_b"),
     )
     pairs = (
-        members.select("band", "key", F.col("head").alias("a"), F.col("n").alias("n_a"), "c", "component", "main")
-        .join(other, ["band", "key"])
-        .where("component <> of_b AND (component = main OR a < b)")
-        .where(f"100 * least(c, c_b) >= {percent} * (n_a + n_b - least(c, c_b))")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+        members.join(other, ["band", "key"])
+        .where("component <> of_b AND (component = main OR head < b)")
+        .where(possible)
+        .where("array_position(zip_with(keys, keys_b, (x, y) -> x = y), true) = band + 1")
+    )
+    return first.union(links(stage(_ordered(pairs), "pairs"), texts, size, percent))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("head", "b").alias("a"), F.greatest("head", "b").alias("b")).distinct()
+
+
+def _apart(members: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``members`` with their components, and the buckets of several with the largest part's, ``main``."""
+    at = stage(
+        members.join(found, members["head"] == found["id"], "left")
+        .withColumn("component", F.coalesce("component", "head"))
+        .drop("id"),
+        "members",
+    )
+    parts = at.groupBy("band", "key", "component").agg(F.count("*").alias("size"))
+    split = (
+        parts.groupBy("band", "key")
+        .agg(F.max(F.struct("size", "component")).alias("most"), F.count("*").alias("parts"))
+        .where("parts > 1")
+        .select("band", "key", F.col("most.component").alias("main"))
     )
-    return links(stage(pairs, "pairs"), texts, size, percent)
+    return at, stage(split, "split")
 
 
 def one_per_group(docs: DataFrame, **settings) -> DataFrame:
