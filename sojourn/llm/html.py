@@ -57,6 +57,8 @@ STOP_WORDS = frozenset(
 #: of good and of near-good text; lengths below which a block is short, and from which it is long.
 LINKED, DENSE, SPARSE = 0.33, 0.3, 0.12
 SHORT, LONG = 70, 200
+#: Share of linked characters from which a paragraph of an article is a list of links.
+LISTED = 0.66
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|$)|<[!?][^>]*>?"
@@ -183,24 +185,25 @@ def labelled(found: list[Block]) -> list[tuple[str, bool]]:
     """(text, good) of each block with text.
 
     First pass, each block by itself: furniture and link-heavy blocks are bad; long blocks are good
-    with many stop words and near-good with some; the rest is bad if long, undecided if short.
-    Second pass: undecided and near-good blocks take the label of the nearest decided neighbours,
-    the better one if these differ for near-good ones, and good between good ones. In a page with
-    an article element the article's blocks are near-good at worst, the others bad at best.
+    with many stop words and near-good with some; the rest is bad if long, undecided if short. An
+    article element is a prior on that. Its blocks are raised: near-good ones are good, others
+    near-good, except link-heavy ones, of which headings and paragraphs with text of their own are
+    undecided and the rest stays bad. If it holds at least half of the running text, what stands
+    outside is lowered: good to near-good, near-good to undecided, undecided to bad.
+    Second pass: near-good blocks are good next to one that is not bad, or by their length if they
+    were not lowered; undecided ones between good ones, headings before good ones. If nothing is
+    good then, the near-good blocks of articles are.
     """
     rows: list[list] = []
-    articles = any(b.main and not b.off for b in found)
+    running = {True: 0, False: 0}
     for b in found:
         text = b.text()
         if not text:
             continue
         words = text.lower().split()
         stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
-        if b.off:
-            label = "bad"
-        elif articles:
-            label = "good" if b.main else "bad"
-        elif b.linked > LINKED * len(text):
+        linked = b.linked / len(text)
+        if b.off or linked > LINKED:
             label = "bad"
         elif b.heading:
             label = "short"
@@ -212,29 +215,51 @@ def labelled(found: list[Block]) -> list[tuple[str, bool]]:
             label = "near"
         else:
             label = "near" if len(text) >= LONG and b.tag == "p" else "bad"
-        rows.append([text, label, b.heading])
-    decided = [r[1] for r in rows]
-    ahead, behind = ["bad"] * len(rows), ["bad"] * len(rows)
-    last = "bad"
-    for i, label in enumerate(decided):
-        behind[i] = last
-        last = label if label in ("good", "bad", "near") else last
-    last = "bad"
-    for i in range(len(rows) - 1, -1, -1):
-        ahead[i] = last
-        last = decided[i] if decided[i] in ("good", "bad", "near") else last
+        if label in ("good", "near"):
+            running[b.main] += len(text)
+        rows.append([text, label, b, linked])
+    lowered = any(b.main and not b.off for _, _, b, _ in rows) and running[True] >= running[False]
+    for row in rows:
+        _, label, b, linked = row
+        if b.off:
+            continue
+        if b.main and linked > LINKED:
+            row[1] = "short" if b.heading or b.tag == "p" and linked <= LISTED else "bad"
+        elif b.main:
+            row[1] = "good" if label in ("good", "near") else "near"
+        elif lowered and not b.heading:
+            row[1] = {"good": "near", "near": "short"}.get(label, "bad")
+    ahead, behind = _neighbours([r[1] for r in rows])
+    for i, (text, label, b, _) in enumerate(rows):
+        if label == "near":
+            alone = ahead[i] == behind[i] == "bad" and (len(text) < LONG or lowered and not b.main)
+            rows[i][1] = "lone" if alone else "good"
+    if not any(r[1] == "good" for r in rows):
+        for row in rows:
+            if row[1] == "lone" and row[2].main:
+                row[1] = "good"
+    ahead, behind = _neighbours(["bad" if r[1] == "lone" else r[1] for r in rows])
     out = []
-    for i, (text, label, heading) in enumerate(rows):
+    for i, (text, label, b, _) in enumerate(rows):
         good = label == "good"
-        if label == "near":
-            good = "bad" != ahead[i] or "bad" != behind[i] or len(text) >= LONG
-        elif label == "short":
+        if label == "short":
             # A heading belongs to what follows it.
-            good = ahead[i] != "bad" if heading else ahead[i] != "bad" and behind[i] != "bad"
+            good = ahead[i] != "bad" and (b.heading or behind[i] != "bad")
         out.append((text, good))
     return out
 
 
+def _neighbours(labels: list[str]) -> tuple[list[str], list[str]]:
+    """The nearest decided label after and before each one; bad beyond the ends."""
+    ahead, behind = [], []
+    for order, side in ((reversed(labels), ahead), (labels, behind)):
+        last = "bad"
+        for label in order:
+            side.append(last)
+            last = label if label != "short" else last
+    return ahead[::-1], behind
+
+
 def main_text(page: str | None) -> str:
     """The good blocks of a page, one a line."""
     return "\n".join(t for t, good in labelled(blocks(page)) if good) if page else ""

@@ -104,6 +104,24 @@ def test_page_rules(page, want):
     assert html.main_text(page) == want
 
 
+def test_articles_are_a_prior_of_the_block_rules():
+    links = "".join(f"<li><a href=/{i}>story number {i}</a></li>" for i in range(4))
+    cards = "".join(f"<article><a href=/{i}>Story of the day {i}</a></article>" for i in range(3))
+    body = f"<div><p>{RUNNING}</p><p>Short.</p><p>{RUNNING}</p></div>"
+    kept = f"{RUNNING.strip()}\nShort.\n{RUNNING.strip()}"
+    # Teaser cards do not stand for the page; an article's lists of links are no text.
+    assert html.main_text(cards + body) == kept
+    inside = f"<p>{RUNNING}</p><ul class=x9>{links}</ul><p>Short.</p><p>{RUNNING}</p>"
+    assert html.main_text(f"<article>{inside}</article>") == kept
+    # Around a real article, text by itself is lowered; next to it, it stays.
+    stray = "<div>That is what it was for all of them, and it is as it was to be on that day of the year.</div>"
+    assert html.main_text(f"<article>{body}</article><ul>{links}</ul>{stray}<ul>{links}</ul>") == kept
+    assert html.main_text(f"<p>{RUNNING}</p><article><p>{RUNNING}</p></article>").count(RUNNING.strip()) == 2
+    # Linked headings and short or plain blocks of an article are its text.
+    odd = f"<h1><a href=/a>Head</a></h1><p>Xylo 7 quux {'plugh ' * 20}</p><p>{RUNNING}</p>"
+    assert html.main_text(f"<main>{odd}</main>").startswith("Head\nXylo")
+
+
 def test_pages_odd_rows(spark):
     rows = [(1, "u", None, 5), (None, None, "<p>x", None), (2, "u", "<div>" * 20_000 + "x", 1), (2, "u", "<" * 50_000, 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
