@@ -65,70 +65,86 @@ _TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>",
     re.S,
 )
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _PART = re.compile(r"[A-Z]*[a-z]+|[A-Z]+")
-_HIDDEN = re.compile(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _ELSEWHERE = frozenset(["with", "has", "no", "without", "not"])
-_FRAMES = frozenset(["html", "body", "main"])
+_FRAMES = frozenset(["html", "body"])
+_ARTICLES = frozenset(["article", "main"])
 _HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 _RAW = frozenset(["script", "style", "textarea", "title"])
 
 
-def _marks(attrs: str) -> bool:
-    """Whether an element's names say that it is not part of an article."""
-    for found in _NAMED.finditer(attrs):
-        for name in (found[1] or found[2] or found[3] or "").split():
-            parts = [p.lower() for p in _PART.findall(name)]
-            # "with-sidebar" tells what stands elsewhere.
-            if not MARKED.isdisjoint(parts) and _ELSEWHERE.isdisjoint(parts):
-                return True
-    return bool(_HIDDEN.search(attrs))
+def _marks(attrs: str) -> tuple[bool, bool]:
+    """Whether an element is hidden, and whether its names say that it is not part of an article."""
+    hidden = named = False
+    for found in _ATTR.finditer(attrs):
+        attr, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+        if attr == "hidden" or attr == "aria-hidden" and value.strip().lower() == "true":
+            hidden = True
+        elif attr == "style":
+            hidden = hidden or bool(_NONE.search(value))
+        elif attr in ("class", "id", "role") and not named:
+            for name in value.split():
+                parts = [p.lower() for p in _PART.findall(name)]
+                # "with-sidebar" tells what stands elsewhere.
+                if not MARKED.isdisjoint(parts) and _ELSEWHERE.isdisjoint(parts):
+                    named = True
+    return hidden, named
 
 
 class Block:
-    __slots__ = ("parts", "linked", "main", "off", "heading", "tag")
+    __slots__ = ("parts", "linked", "main", "off", "heading", "named", "tag")
 
-    def __init__(self, main: bool, off: bool, heading: bool, tag: str) -> None:
+    def __init__(self) -> None:
         self.parts: list[str] = []
         self.linked = 0
-        self.main, self.off, self.heading, self.tag = main, off, heading, tag
 
     def text(self) -> str:
         return " ".join(html.unescape("".join(self.parts)).split())
 
 
 def blocks(page: str) -> list[Block]:
-    """The page's blocks in order. Elements of an article are ``main``, furniture is ``off``."""
+    """The page's blocks in order. Elements of an article are ``main``, furniture is ``off``.
+
+    Names do not make furniture of an outermost article or of what contains one. An article in an
+    element of such a name is still furniture if another one on the page has running text: then it
+    is a comment or a teaser.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[bool, ...]]] = []
+    stack: list[tuple[str, tuple]] = []
     open_: Counter[str] = Counter()
-    # Of the innermost element: within skipped elements, furniture, an article, a link, a heading.
-    skip = off = main = link = heading = False
+    # Of the innermost element: within skipped elements, furniture, an article, a link, a heading;
+    # the number of the element marked by name around it, 0 for none; within an article proper.
+    skip = off = main = link = heading = inner = False
+    named = marked = 0
+    # Marked elements that contain an article.
+    around: set[int] = set()
     at, n = 0, len(page)
 
     def fresh() -> None:
         if not out or out[-1].parts:
-            out.append(Block(main, off, heading, stack[-1][0] if stack else ""))
-        else:
-            last = out[-1]
-            last.main, last.off, last.heading, last.tag = main, off, heading, stack[-1][0] if stack else ""
+            out.append(Block())
+        last = out[-1]
+        last.main, last.off, last.heading, last.named = main, off, heading, named
+        last.tag = stack[-1][0] if stack else ""
 
     def say(piece: str) -> None:
         if piece and not skip:
             if not out:
                 fresh()
-            if out[-1].off != off or out[-1].main != main:
+            if (out[-1].off, out[-1].main, out[-1].named) != (off, main, named):
                 fresh()
             out[-1].parts.append(piece)
             if link:
                 out[-1].linked += len(piece.strip())
 
     def leave(down_to: int) -> None:
-        nonlocal skip, off, main, link, heading
+        nonlocal skip, off, main, link, heading, named, inner
         block = any(t in BLOCKS for t, _ in stack[down_to:])
         open_.subtract(t for t, _ in stack[down_to:])
         del stack[down_to:]
-        skip, off, main, link, heading = stack[-1][1] if stack else (False,) * 5
+        skip, off, main, link, heading, named, inner = stack[-1][1] if stack else (False,) * 5 + (0, False)
         if block:
             fresh()
 
@@ -168,17 +184,28 @@ def blocks(page: str) -> list[Block]:
                 break
         if token["attrs"].endswith("/") and tag in ("svg", "script"):
             continue
-        own = tag in FURNITURE or tag == "header" and not main or tag not in _FRAMES and _marks(token["attrs"])
-        skip, off, main = skip or tag in SKIPPED, off or own, main or tag in ("article", "main")
+        hidden, by_name = _marks(token["attrs"]) if token["attrs"] and tag not in _FRAMES else (False, False)
+        if tag in _ARTICLES and not inner:
+            around.update(state[5] for _, state in stack if named)
+        elif by_name:
+            marked += 1
+            named = marked
+        off = off or hidden or tag in FURNITURE or tag == "header" and not main
+        skip, main, inner = skip or tag in SKIPPED, main or tag in _ARTICLES, inner or tag == "article"
         link, heading = link or tag == "a", heading or tag in _HEADINGS
-        stack.append((tag, (skip, off, main, link, heading)))
+        stack.append((tag, (skip, off, main, link, heading, named, inner)))
         open_[tag] += 1
         if tag in BLOCKS:
             fresh()
         if tag in _RAW:
             close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = close.start() if close else n
-    return [b for b in out if b.parts]
+    out = [b for b in out if b.parts]
+    around.discard(0)
+    proper = any(b.main and not (b.off or b.named or b.heading) and len(b.text()) - b.linked >= SHORT for b in out)
+    for b in out:
+        b.off = b.off or b.named > 0 and (proper or b.named not in around)
+    return out
 
 
 def labelled(found: list[Block]) -> list[tuple[str, bool]]:

@@ -122,6 +122,33 @@ def test_articles_are_a_prior_of_the_block_rules():
     assert html.main_text(f"<main>{odd}</main>").startswith("Head\nXylo")
 
 
+@pytest.mark.parametrize(
+    "around, own",
+    [
+        ("", "class='overflow-hidden'"),
+        ("class=overflow-hidden", ""),
+        ("aria-hidden='false'", "data-hidden=0 title='Hidden gems'"),
+        ("id=discussion", "class='post category-social'"),
+        ("data-id=share", "data-class='ad'"),
+    ],
+)
+def test_names_do_not_hide_articles(around, own):
+    for tag in ("article", "main"):
+        page = f"<div {around}><div class=share>Share it</div><{tag} {own}><p>{RUNNING}</p><div class=ad>{RUNNING}</div></{tag}></div>"
+        assert html.main_text(page) == RUNNING.strip()
+
+
+def test_hidden_elements_and_comments_are_no_text():
+    for attrs in ("hidden", "hidden=''", "aria-hidden=true", "style='color:red; display: none'"):
+        assert html.main_text(f"<article><p>{RUNNING}</p><div {attrs}><p>{RUNNING}</p></div></article>") == RUNNING.strip()
+        assert html.main_text(f"<div {attrs}><article><p>{RUNNING}</p></article></div>") == ""
+    for page in (
+        f"<article><p>{RUNNING}</p><article class=comment><p>{RUNNING}</p></article></article>",
+        f"<article><p>{RUNNING}</p></article><ol class=comments><article><p>{RUNNING}</p></article></ol>",
+    ):
+        assert html.main_text(page) == RUNNING.strip()
+
+
 def test_pages_odd_rows(spark):
     rows = [(1, "u", None, 5), (None, None, "<p>x", None), (2, "u", "<div>" * 20_000 + "x", 1), (2, "u", "<" * 50_000, 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
