@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +20,8 @@ LINK = 0.95
 NEIGHBOURS, TREES, PER_TREE, WINDOW = 10, 10, 5, 64
 #: Rounds of descent at most; share of list entries that must change for another one.
 ROUNDS, CHANGE = 3, 0.02
-#: Vectors of a block when a saturated list is enlarged; audited vectors; audits at most.
+#: Vectors of a block when a saturated list is enlarged; audited vectors of all and of the linked ones;
+#: audits after which another one must be better than the last.
 BLOCK, AUDITED, AUDITS = 1024, 1000, 3
 #: Single precision finds candidates this far below LINK; double precision decides.
 _SLACK = 1e-4
@@ -252,10 +255,122 @@ def enlarged(nodes: DataFrame, found: DataFrame, link: float, block: int = BLOCK
     return counted.groupBy("id").agg(F.sum("links").alias("links"))
 
 
-def audit(nodes: DataFrame, links: DataFrame, link: float, audited: int = AUDITED) -> float:
-    """Share of the true links of a hash sample of vectors, compared with all others, that are found."""
-    sample = nodes.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(audited)
-    sample = sample.join(links, "id", "left").select("id", "embedding", F.coalesce("links", F.lit(0)).alias("links"))
+def bridges(nodes: DataFrame, found: DataFrame, full: DataFrame, link: float, block: int = BLOCK) -> DataFrame | None:
+    """Edges (a, b), None without a pair to compare, between components of vectors whose lists are full of links.
+
+    A full list may leave out links to another crowd, and a link is in neither list only if both
+    are full; so components with a vector of ``full`` (id) are compared with each other, all
+    vectors of them. They are dealt into blocks; a block lies in a cap around its mean, and caps
+    further apart than the link's angle hold no link. What is left is compared exactly, and two
+    blocks give one edge at most: it makes one component of both.
+    """
+    crowds = stage(found.join(full, "id", "left_semi").select("component").distinct(), "full")
+    if crowds.count() < 2:
+        return None
+    members = found.join(crowds, "component", "left_semi")
+    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    members = stage(
+        members.join(nodes, "id")
+        .join(sizes, "component")
+        .select("component", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"), "id", "embedding"),
+        "crowds",
+    )
+    reach = float(np.arccos(link)) + 1e-6
+    keys = ["component", "part"]
+
+    def capped(batches):
+        for crowd in _groups(batches, keys):
+            units = _units(crowd["embedding"].combine_chunks())
+            centre, radius = _cap(units)
+            yield pa.RecordBatch.from_arrays(
+                [crowd["component"].combine_chunks()[:1], crowd["part"].combine_chunks()[:1],
+                 pa.array([units.shape[1]], pa.int32()), pa.array([centre.tolist()]), pa.array([radius])],
+                names=[*keys, "dim", "centre", "radius"],
+            )
+
+    caps = stage(
+        arrow_map(
+            members.repartition(*keys).sortWithinPartitions(*keys),
+            capped,
+            "component long, part int, dim int, centre array<double>, radius double",
+        ),
+        "caps",
+    )
+    parts = max(1, -(-caps.count() // block))
+    mine = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+    cells = caps.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    cells = cells.select("dim", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "*")
+
+    def near(batches):
+        for cell in _groups(batches, ["dim", "i", "j"]):
+            component, part, side = (np.asarray(cell[c]) for c in ("component", "part", "mine"))
+            centres = np.stack(cell["centre"].to_numpy())
+            radius = cell["radius"].to_numpy()
+            alone = cell["i"][0] == cell["j"][0]
+            for at in range(0, len(part), 256):
+                rows = slice(at, at + 256)
+                angles = np.arccos(np.clip(centres[rows] @ centres.T, -1, 1))
+                close = angles <= radius[rows, None] + radius + reach
+                close &= component[rows, None] < component
+                if not alone:
+                    close &= side[rows, None] != side
+                a, b = np.nonzero(close)
+                a += at
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (component[a], part[a], component[b], part[b])], names=["c", "p", "d", "q"]
+                )
+
+    order = ["dim", "i", "j"]
+    pairs = arrow_map(
+        cells.drop("other").select("i", "j", *caps.columns, "mine").repartition(*order).sortWithinPartitions(*order),
+        near,
+        "c long, p int, d long, q int",
+    )
+    sides = stage(pairs, "cap-pairs").select(
+        "c", "p", "d", "q", F.explode(F.array(F.struct("c", "p"), F.struct(F.col("d").alias("c"), F.col("q").alias("p")))).alias("s")
+    )
+    rows = sides.select("c", "p", "d", "q", F.col("s.c").alias("component"), F.col("s.p").alias("part")).join(members, keys)
+
+    def linked(batches):
+        for pair in _groups(batches, ["c", "p", "d", "q"]):
+            first = np.asarray(pair["component"]) == pair["c"][0].as_py()
+            ids, units = np.asarray(pair["id"]), _units(pair["embedding"].combine_chunks())
+            x, y, a, b = units[first], units[~first], ids[first], ids[~first]
+            # Vectors that do not reach the other side's cap are left out first.
+            for _ in range(2):
+                centre, radius = _cap(y)
+                reaching = np.arccos(np.clip(x @ centre, -1, 1)) <= radius + reach
+                x, y, a, b = y, x[reaching], b, a[reaching]
+                if not len(y):
+                    break
+            for at in range(0, len(x) if len(y) else 0, 256):
+                sims = x[at : at + 256] @ y.T
+                i, j = divmod(int(sims.argmax()), len(b))
+                if sims[i, j] >= link:
+                    u, v = int(a[at + i]), int(b[j])
+                    yield pa.RecordBatch.from_arrays([pa.array([min(u, v)]), pa.array([max(u, v)])], names=["a", "b"])
+                    break
+
+    order = ["c", "p", "d", "q"]
+    return arrow_map(rows.repartition(*order).sortWithinPartitions(*order), linked, "a long, b long")
+
+
+def _cap(units: np.ndarray) -> tuple[np.ndarray, float]:
+    """A direction and the largest angle of the vectors to it."""
+    centre = units.mean(axis=0)
+    centre = centre / norm if (norm := np.linalg.norm(centre)) > 1e-9 else units[0]
+    return centre, float(np.arccos(np.clip(units @ centre, -1, 1)).max())
+
+
+def audit(nodes: DataFrame, links: DataFrame, link: float, audited: int = AUDITED, seed: int = 3) -> float:
+    """Share of the true links of a hash sample of vectors, compared with all others, that are found.
+
+    The sample has ``audited`` of all vectors and as many of those with links, or all of these.
+    """
+    known = nodes.join(links, "id", "left").select("id", "embedding", F.coalesce("links", F.lit(0)).alias("links"))
+    order = F.xxhash64("id", F.lit(seed))
+    sample = known.orderBy(order, "id").limit(audited)
+    sample = sample.union(known.where("links > 0").orderBy(order, "id").limit(audited)).dropDuplicates(["id"])
     asked = sample.toArrow()
     if not len(asked):
         return 1.0
@@ -291,9 +406,10 @@ def near_vectors(
 
     Equal vectors are one node with a count. A first neighbour graph comes from random trees;
     rounds of descent refine it until few list entries change. Edges at ``link`` or above, decided
-    in double precision, make the components; a component's lists are enlarged to all links within
-    it. An audit compares a sample with all vectors; while it finds a link missing, more trees are
-    grown and the graph goes down again. ``recall`` is what the last audit found.
+    in double precision, make the components; where lists are full, components are compared with
+    each other; a component's lists are enlarged to all links within it. An audit compares a sample
+    with all vectors; while it finds a link missing, more trees are grown and the graph goes down
+    again, until that helps no more. ``recall`` is what the last audit found; below 1 there is a warning.
 
     Vectors that cannot be compared link with nothing: n_links 0, their own component. So do rows
     with a null vec_id, whose component is null and which are kept. Vectors of different dimensions
@@ -312,7 +428,7 @@ def near_vectors(
     nodes = stage(nodes.select("id", "m.n", "m.embedding"), "nodes")
     total = nodes.count()
     edges, graph, recall = None, None, 1.0
-    for attempt in range(AUDITS):
+    for attempt in count():
         new = tree_neighbours(nodes, trees * (attempt + 1), attempt)
         graph = stage(best(graph.union(new) if graph is not None else new, k), "graph")
         for _ in range(rounds):
@@ -326,10 +442,17 @@ def near_vectors(
         )
         edges = stage(exact_links(close.where("a < b").distinct(), nodes, link), "links")
         found = components(edges)
+        full = graph.where(F.col("sim") >= link - _SLACK).groupBy(F.col("u").alias("id")).count().where(F.col("count") >= k)
+        more = bridges(nodes, found, full, link)
+        if more is not None and not (more := stage(more, "bridges")).isEmpty():
+            found = components(edges.union(more))
         links = stage(enlarged(nodes, found, link), "counts")
-        recall = audit(nodes, links, link)
+        before, recall = recall, audit(nodes, links, link, seed=3 + attempt)
         if recall == 1.0:
             break
+        if attempt + 1 >= AUDITS and recall <= before:
+            warnings.warn(f"near_vectors: the last of {attempt + 1} audits found {recall:.6f} of the links", stacklevel=2)
+            break
     joined = stage(
         nodes.join(found, "id", "left")
         .join(links, "id", "left")

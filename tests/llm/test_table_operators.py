@@ -141,6 +141,27 @@ def test_vectors_match_brute_force(spark):
     assert (by_id[None].n_links, by_id[None].component_id, by_id[None].kept) == (0, None, True)
 
 
+def test_linked_crowds_are_one_component(spark):
+    rng = np.random.default_rng(6)
+    dirs = np.linalg.qr(rng.standard_normal((32, 6)))[0].T
+
+    def crowd(angle, up, n, off=0.0):
+        centre = np.cos(off) * (np.cos(angle) * dirs[0] + np.sin(angle) * dirs[up]) + np.sin(off) * dirs[5]
+        return centre + rng.standard_normal((n, 32)) * 0.002
+
+    step = np.arccos(0.96)
+    crowds = [crowd(0, 1, 200), crowd(step, 1, 200), crowd(2 * step, 1, 30), crowd(0, 1, 40, np.arccos(0.93)), crowd(np.pi / 2, 3, 20)]
+    all_ = np.concatenate(crowds).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(all_)]
+    got = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    units = all_.astype(float) / np.linalg.norm(all_.astype(float), axis=1, keepdims=True)
+    links = (units @ units.T >= 0.95).sum(axis=1) - 1
+    assert {r.vec_id: r.n_links for r in got} == dict(enumerate(links.tolist()))
+    # 200 + 200 + 30 hang together over the middle; the others are components of their own.
+    assert Counter(r.component_id for r in got) == {0: 430, 430: 40, 470: 20}
+    assert {r.recall for r in got} == {1.0}
+
+
 def test_vectors_empty(spark):
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
