@@ -141,3 +141,14 @@ def curriculum(docs: DataFrame, **settings) -> DataFrame:
     """The training order: each document once for each time it is taken, columns as they are, range-sorted."""
     due = mixed(docs, **settings).select(*docs.columns, F.explode("position").alias("_due"))
     return due.repartitionByRange("_due", "doc_id").sortWithinPartitions("_due", "doc_id").drop("_due")
+
+
+def places(docs: DataFrame, **settings) -> DataFrame:
+    """``mixed`` rows (doc_id, size, source_size, target, taken, position), range-sorted by first position.
+
+    Null ``doc_id`` sort first among equals; documents that are not taken have no position and stand last.
+    """
+    rows = mixed(docs, **settings).select("doc_id", "size", "source_size", "target", "taken", "position")
+    rows = stage(rows.withColumn("_due", F.try_element_at("position", F.lit(1))), "mix-places")
+    order = [F.col("_due").asc_nulls_last(), F.col("doc_id")]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("_due")

@@ -70,7 +70,12 @@ def op9_toxicity(spark, sf_dir):
 @query
 def op10_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
-    return mixing.mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.places(docs).drop("position")
+
+
+@query
+def op10_positions(spark, sf_dir):
+    return mixing.places(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
 @query

@@ -320,6 +320,19 @@ def test_curriculum_is_sorted_and_repeats_agree(spark, given):
     assert times == Counter({i: len(p) for i, p in due.items() if p})
 
 
+def test_mixing_queries_stand_in_training_order(spark, given):
+    rows = queries.QUERIES["op10_positions"](spark, given).collect()
+    first = [r.position[0] for r in rows if r.position]
+    assert first == sorted(first) and not any(r.position for r in rows[len(first) :])
+    assert all(r.taken == len(r.position) * r.size for r in rows)
+    assert [r.doc_id for r in queries.QUERIES["op10_mixing"](spark, given).collect()] == [r.doc_id for r in rows]
+    # Other schedules give other positions and another order.
+    docs = table(spark, given, "documents")
+    late = mixing.places(docs, schedules=((0.1, 1.9), (1.5, 0.5), (0.5, 1.5))).collect()
+    assert [r.doc_id for r in late] != [r.doc_id for r in rows]
+    assert {r.doc_id: r.taken for r in late} == {r.doc_id: r.taken for r in rows}
+
+
 def test_mixing_odd_rows(odd, none):
     rows = mixing.mixed(odd).collect()
     assert len(rows) == len(odd_rows())
