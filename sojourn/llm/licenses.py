@@ -22,7 +22,8 @@ BASE = {
 #: are joined by single spaces, so "GPL-3.0" is "gpl 3 0". Each name gives a notice rule and a title
 #: rule, each identifier a tag rule, each address an address rule; "-" gives none.
 _LICENSES = r"""
-mit | mit | (?:mit|expat)(?: x11)? | mit | opensource org licenses? mit
+mit | mit | mit(?: x11)? | mit | opensource org licenses? mit
+mit | expat | expat(?: x11)? | - | -
 apache-2 | apache | apache(?: software)?(?: public)?(?: license)?(?: v| version)? ?2(?: 0)? | apache 2 0 | apache org licenses license 2 0
 apache-1.1 | apache | apache(?: software)?(?: license)?(?: v| version)? ?1 1 | apache 1 1 | apache org licenses license 1 1
 gpl-2 | gpl | gpl(?: v| version)? ?2(?: 0)? | gpl 2 0(?: only| or later)? | gnu org licenses (?:old licenses )?gpl 2 0
@@ -100,14 +101,14 @@ afl-3 | academic free | academic free license(?:(?: v| version)? ?3(?: 0)?)? | a
 sspl | server side public | server side public license(?: sspl)?(?:(?: v| version)? ?1)? | sspl 1 0 | mongodb com licensing server side public license
 elastic-2 | elastic license | elastic license(?:(?: v| version)? ?2(?: 0)?)? | elastic 2 0 | elastic co licensing elastic license
 polyform-nc | polyform | polyform noncommercial license(?: 1 0 0)? | polyform noncommercial 1 0 0 | polyformproject org licenses noncommercial
-openrail | openrail | (?:creativeml |bigscience )?open ?rail(?: m)? | openrail | -
+openrail | rail | (?:creativeml |bigscience )?open ?rail(?: m)? | openrail | -
 llama | llama | llama ?[23](?: [123])? community | llama ?[23](?: [123])? | -
 blueoak | blue oak | blue oak model license(?: 1 0 0)? | blueoak 1 0 0 | blueoakcouncil org license 1 0 0
 upl | universal permissive | universal permissive license(?: upl)?(?: 1 0)? | upl 1 0 | opensource org licenses? upl
 vim | vim | vim | vim | -
 tex-lppl | latex project | latex project public license(?: lppl)?(?:(?: v| version)? ?1 3c?)? | lppl 1 3c? | latex project org lppl
 curl | curl | curl | curl | curl se docs copyright
-json | json license | json | json | json org license
+json | json | json | json | json org license
 libpng | libpng | libpng(?: license)?(?: version 2)? | libpng(?: 2 0)? | libpng org pub png src libpng license
 x11 | x11 | x11 | x11 | -
 """.strip()
@@ -141,7 +142,7 @@ public-domain | 60 | public domain | (?:is|are|was|were|placed|released|dedicate
 public-domain | 55 | public domain | public domain (?:dedication|mark|work|software)
 public-domain | 58 | creativecommons org publicdomain | creativecommons org publicdomain mark 1 0
 wtfpl | 90 | do what the | you just do what the f\w* you want to
-cc-by-sa | 85 | wikipedia | text of this (?:wikipedia )?article is available under the creative commons attribution share ?alike
+cc-by-sa | 85 | text of this | text of this (?:wikipedia )?article is available under the creative commons attribution share ?alike
 gfdl | 85 | free documentation | permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license
 proprietary | 50 | all rights reserved | all rights reserved
 proprietary | 52 | alle rechte vorbehalten | alle rechte vorbehalten
@@ -150,7 +151,7 @@ proprietary | 52 | todos los derechos | todos los derechos reservados
 proprietary | 60 | proprietary | proprietary and confidential
 proprietary | 58 | unauthorized | unauthorized (?:copying|reproduction|distribution|use) (?:of this [a-z]+ )?(?:[a-z ]{0,30})?is (?:strictly )?prohibited
 proprietary | 56 | may not be | may not be (?:reproduced|copied|distributed|published|broadcast|rewritten)(?: or [a-z]+)? (?:or [a-z]+ )?(?:in any form )?without (?:the )?(?:prior )?(?:written )?(?:permission|consent)
-proprietary | 54 | end user license | end user licen[cs]e agreement
+proprietary | 54 | end user licen | end user licen[cs]e agreement
 proprietary | 54 | subject to the terms of use | use of this (?:site|website|service) is subject to the terms of use
 no-commercial | 48 | commercial use | (?:for )?non ?commercial use only
 no-commercial | 48 | commercial use | (?:no|not for) commercial use
@@ -183,7 +184,7 @@ def rules() -> list[Rule]:
         )
         if tag != "-":
             out.append(Rule(label, TAG, "spdx license", rf"spdx license identifier {tag}"))
-            out.append(Rule(label, TAG - 5, "license", rf"licen[cs]e(?: id| identifier| name)? (?:is )?{tag}"))
+            out.append(Rule(label, TAG - 5, "licen", rf"licen[cs]e(?: id| identifier| name)? (?:is )?{tag}"))
         if address != "-":
             out.append(Rule(label, ADDRESS, address.split(" ")[0], address))
     for line in _SENTENCES.splitlines():

@@ -61,6 +61,40 @@ def test_license_rules_and_suppression(spark):
     assert labels("under the mit license under the mit license") == ["mit", "mit"]
 
 
+def sampled(tokens, rng):
+    """A random text that a parsed pattern accepts."""
+    out = ""
+    for op, arg in tokens:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "IN":
+            kind, value = arg[int(rng.integers(len(arg)))]
+            out += chr(value) if str(kind) == "LITERAL" else chr(int(rng.integers(value[0], value[1] + 1))) if str(kind) == "RANGE" else "x"
+        elif name == "BRANCH":
+            out += sampled(arg[1][int(rng.integers(len(arg[1])))], rng)
+        elif name == "SUBPATTERN":
+            out += sampled(arg[3], rng)
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            for _ in range(int(rng.integers(arg[0], min(arg[1], arg[0] + 2) + 1))):
+                out += sampled(arg[2], rng)
+        elif name in ("ANY", "NOT_LITERAL"):
+            out += "x"
+    return out
+
+
+def test_license_keywords_occur_in_all_that_patterns_accept():
+    rng = np.random.default_rng(2)
+    missed = set()
+    for rule in licenses.rules():
+        tokens = re._parser.parse(rule.pattern)
+        for _ in range(40):
+            text = sampled(tokens, rng)
+            if re.fullmatch(rule.pattern, text) and rule.keyword not in text:
+                missed.add((rule.label, rule.keyword, text))
+    assert not missed
+
+
 def test_license_odd_rows(odd, none):
     rows = licenses.scanned(odd).collect()
     assert len(rows) == len(odd_rows())
