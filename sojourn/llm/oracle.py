@@ -1,6 +1,6 @@
 """SQL for the queries that SQL can express, over the same tables."""
 
-from . import mixing, quality
+from . import mixing, quality, spelling
 from .minhash import PERCENT
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -117,4 +117,49 @@ SELECT doc_id, size, source_size::BIGINT AS source_size, target,
 FROM placed
 """
 
-ORACLE = {"op2_vectors": OP2, "op4_minhash": OP4, "op6_quality": OP6, "op10_mixing": OP10}
+OP12 = rf"""
+WITH RECURSIVE crcs(i, v, k) AS (
+  SELECT range, range, 0 FROM range(256) UNION ALL
+  SELECT i, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, k + 1 FROM crcs WHERE k < 8),
+crc AS (SELECT list(v ORDER BY i) AS t FROM crcs WHERE k = 8),
+runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= {spelling.LETTERS} GROUP BY ALL),
+coded AS (
+  SELECT *, list_prepend(4294967295, flatten(list_transform(
+    string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)]
+      ELSE [192 | (unicode(c) >> 6), 128 | (unicode(c) & 63)] END))) AS b FROM runs),
+hashed AS (
+  SELECT run, n, xor(list_reduce(b::BIGINT[], lambda h, c: xor(h // 256, t[1 + (xor(h, c) & 255)])), 4294967295) AS h
+  FROM coded, crc),
+read AS (
+  SELECT CASE WHEN h % {spelling.MISSPELT} = 0
+    THEN substr(run, 1, h % length(run)) || substr(run, 2 + h % length(run)) ELSE run END AS word, n FROM hashed),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM read WHERE length(word) >= {spelling.LETTERS}
+  GROUP BY word HAVING sum(n) >= {spelling.OCCURRENCES}),
+cuts AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+gains AS (SELECT DISTINCT c.word, w.word AS near FROM cuts c JOIN words w ON c.rest = w.word),
+near AS (
+  SELECT x.word, y.word AS near FROM cuts x JOIN cuts y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+  UNION ALL FROM gains UNION ALL SELECT near, word FROM gains),
+ranked AS (
+  SELECT r.word, near, w.n AS near_n, count(*) OVER (PARTITION BY r.word) AS n_near,
+    row_number() OVER (PARTITION BY r.word ORDER BY w.n DESC, near) AS k
+  FROM near r JOIN words w ON w.word = near),
+formed AS (
+  SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= {spelling.RATIO} * n THEN near END AS form,
+    CASE WHEN near_n >= {spelling.RATIO} * n THEN near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND k = 1),
+steps(word, root) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT s.word, form FROM steps s JOIN formed f ON f.word = s.root WHERE form IS NOT NULL)
+SELECT f.word, form, s.root, n, n_near, form_n
+FROM formed f JOIN steps s ON s.word = f.word JOIN formed e ON e.word = s.root AND e.form IS NULL
+"""
+
+ORACLE = {"op2_vectors": OP2, "op4_minhash": OP4, "op6_quality": OP6, "op10_mixing": OP10, "op12_spelling": OP12}

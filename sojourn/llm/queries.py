@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import html, language, licenses, minhash, mixing, packing, pii, quality, toxicity, vectors
+from . import (
+    alignment,
+    bytepair,
+    html,
+    language,
+    licenses,
+    minhash,
+    mixing,
+    packing,
+    pii,
+    quality,
+    spelling,
+    toxicity,
+    vectors,
+)
 from .common import stage, table
 
 QUERIES = {}
@@ -97,3 +111,24 @@ def op3_html(spark, sf_dir):
 def op7_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     return language.predicted(docs, language.learned(docs))
+
+
+@query
+def op11_alignment(spark, sf_dir):
+    return alignment.alignments(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op12_spelling(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op13_bytepair(spark, sf_dir):
+    rows = bytepair.decoded(bytepair.encoded(table(spark, sf_dir, "documents", "doc_id", "text")))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
