@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -27,3 +30,13 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str | None:
     """The folder the cluster names for data all executors must see; None where it names none."""
     return spark.conf.get("spark.checkpoint.dir", None)
+
+
+def new_folder(spark: SparkSession, tag: str) -> str:
+    """A name no one else uses in the shared folder; in local mode, where none is named, a temporary one."""
+    shared = shared_dir(spark)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
+        shared = "file://" + tempfile.mkdtemp(prefix="sojourn-")
+    return f"{shared.rstrip('/')}/{tag}-{uuid.uuid4().hex}"

@@ -6,6 +6,7 @@ that grows with the data, and ``orders`` the user export, one line per order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 from sojourn.operators import pairing, scd2
 from sojourn.plans import dims, facts
+from sojourn.session import new_folder
+from sojourn.streaming import sessions as streamed
 
 # Which given event type stands for which lifecycle event.
 LIFECYCLE = {
@@ -175,3 +178,50 @@ def dirty_events(spark, sf_dir) -> DataFrame:
         (F.col("pos") + 1_000_000_000_000).alias("pos"),
     )
     return text.unionByName(again)
+
+
+#: How many deliveries the log comes in, how far out of order, and how late a row may be.
+DELIVERIES, OUT_OF_ORDER_HOURS, DELAY = 3, 5, "12 hours"
+
+
+def deliveries(log: DataFrame, again: DataFrame | None = None) -> DataFrame:
+    """The log's rows with the ``delivery`` each comes in: by time, but hours out of order.
+
+    Rows of ``again`` come once more, out of order in their own way. The last delivery ends with
+    a heartbeat long after the log.
+    """
+    us = F.unix_micros(F.col("timestamp").cast("timestamp"))
+
+    def late(df: DataFrame, salt: int) -> DataFrame:
+        most = OUT_OF_ORDER_HOURS * 3_600_000_000
+        shift = F.pmod(F.xxhash64("event_id", F.lit(salt)), F.lit(2 * most)) - most
+        return df.withColumn("_at", us + shift)
+
+    rows = late(log, 0) if again is None else late(log, 0).unionByName(late(again, 1))
+    span = log.agg(F.min(us).alias("_lo"), F.max(us).alias("_hi"))  # one row
+    part = F.floor((F.col("_at") - F.col("_lo")) * DELIVERIES / (F.col("_hi") - F.col("_lo") + 1))
+    placed = rows.crossJoin(F.broadcast(span)).select(
+        *log.columns, F.least(F.greatest(part, F.lit(0)), F.lit(DELIVERIES - 1)).alias("delivery")
+    )
+    beat = span.select(
+        F.lit(None).cast("string").alias("event_id"),
+        F.lit(None).cast("bigint").alias("user_id"),
+        F.lit(None).cast("string").alias("mentor_id"),
+        F.timestamp_micros(F.col("_hi") + F.lit(800 * 86_400_000_000)).cast("timestamp_ntz").alias("timestamp"),
+        F.lit(streamed.HEARTBEAT).alias("event_type"),
+        F.lit(DELIVERIES - 1).cast("bigint").alias("delivery"),
+    )
+    return placed.unionByName(beat)
+
+
+def through_stream(rows: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``step`` makes of ``rows`` as a stream: each delivery is a run from the checkpoint of the last one."""
+    spark = streamed.with_state_store(rows.sparkSession)
+    place = new_folder(spark, "stream")
+    rows.write.partitionBy("delivery").parquet(f"{place}/rows")
+    kept = spark.read.parquet(f"{place}/rows").drop("delivery")
+    for k in range(DELIVERIES):
+        spark.read.parquet(f"{place}/rows/delivery={k}").write.mode("append").parquet(f"{place}/inbox")
+        out = step(spark.readStream.schema(kept.schema).parquet(f"{place}/inbox"))
+        streamed.drained(out, f"{place}/out", f"{place}/checkpoint")
+    return spark.read.schema(out.schema).parquet(f"{place}/out")

@@ -14,6 +14,7 @@ from sojourn.plans import analysis, dims, facts, quality
 from sojourn.session import configure
 from sojourn.sources import normalize, preflight, runlog
 from sojourn.sources.tables import row_counts
+from sojourn.streaming import sessions as streamed
 
 from . import model as m
 
@@ -438,3 +439,55 @@ def run_history_page(spark, sf_dir):
     """The third page of the history."""
     return runlog.history(_run_log(spark, sf_dir), page=2, page_size=10)
 
+
+
+# --- streams -----------------------------------------------------------------------------
+
+DAYS = 24 * 60
+
+
+def _sessions_streamed(spark, sf_dir, patience_minutes):
+    """Sessions of the log as a stream in several deliveries, out of order inside the watermark."""
+    rows = m.deliveries(m.event_log(spark, sf_dir))
+    pairs = m.through_stream(rows, lambda s: streamed.sessions(s, m.DELAY, patience_minutes))
+    return facts.sessions(pairs, 30, m.AS_OF).drop("inserted_at")
+
+
+@query
+def sessions_streamed(spark, sf_dir):
+    """Every session waits for its end longer than the log is: what one batch gives."""
+    return _sessions_streamed(spark, sf_dir, 400 * DAYS)
+
+
+@query
+def sessions_streamed_impatient(spark, sf_dir):
+    """Sessions that have not ended after two days count as open."""
+    return _sessions_streamed(spark, sf_dir, 2 * DAYS)
+
+
+@query
+def events_deduplicated_streamed(spark, sf_dir):
+    """The log as a stream that brings half of its types twice, in the same delivery or the next."""
+    log = m.event_log(spark, sf_dir)
+    rows = m.deliveries(log, log.filter(F.col("event_type").isin(["session_started", "session_ended"])))
+    out = m.through_stream(rows, lambda s: streamed.deduplicated(s, m.DELAY))
+    return out.filter(F.col("event_type") != streamed.HEARTBEAT)
+
+
+@query
+def event_counts_daily(spark, sf_dir):
+    rows = m.deliveries(m.event_log(spark, sf_dir))
+    return m.through_stream(rows, lambda s: streamed.counts(s, "1 day", delay=m.DELAY))
+
+
+@query
+def event_counts_sliding(spark, sf_dir):
+    rows = m.deliveries(m.event_log(spark, sf_dir))
+    return m.through_stream(rows, lambda s: streamed.counts(s, "2 days", "1 day", m.DELAY))
+
+
+@query
+def user_visits(spark, sf_dir):
+    """Runs of a user's events with at most 12 hours between neighbours."""
+    rows = m.deliveries(m.event_log(spark, sf_dir))
+    return m.through_stream(rows, lambda s: streamed.visits(s, "12 hours", m.DELAY))
