@@ -61,15 +61,18 @@ SHORT, LONG = 70, 200
 LISTED = 0.66
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|$)|<[!?][^>]*>?"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>",
+    r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|$)|<[!?][^>]*+>?"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)",
     re.S,
 )
+#: What stands in a tag behind its name. Nothing is read twice: a quote opens a value only behind "=".
+_ATTRS = re.compile(r"((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>")
 _ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _PART = re.compile(r"[A-Z]*[a-z]+|[A-Z]+")
 _NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _ELSEWHERE = frozenset(["with", "has", "no", "without", "not"])
 _FRAMES = frozenset(["html", "body"])
+_ENDS = {tag: [t for t, enders in ENDED_BY.items() if tag in enders] for tag in frozenset().union(*ENDED_BY.values())}
 _ARTICLES = frozenset(["article", "main"])
 _HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 _RAW = frozenset(["script", "style", "textarea", "title"])
@@ -121,6 +124,7 @@ def blocks(page: str) -> list[Block]:
     # Marked elements that contain an article.
     around: set[int] = set()
     at, n = 0, len(page)
+    quotes = True
 
     def fresh() -> None:
         if not out or out[-1].parts:
@@ -160,6 +164,16 @@ def blocks(page: str) -> list[Block]:
         if not token["tag"]:
             continue
         tag = token["tag"].lower()
+        rest = _ATTRS.match(page, at) if quotes else None
+        if rest:
+            attrs, at = rest[1], rest.end()
+        else:
+            # The page ends inside a value: from here on ">" ends a tag wherever it stands.
+            quotes = False
+            close = page.find(">", at)
+            if close < 0:  # cut off inside a tag
+                break
+            attrs, at = page[at:close], close + 1
         if token["end"]:
             for i in range(len(stack) - 1, -1, -1) if open_[tag] > 0 else ():
                 if stack[i][0] == tag:
@@ -176,15 +190,15 @@ def blocks(page: str) -> list[Block]:
             if tag in BLOCKS:
                 fresh()
             continue
-        for i in range(len(stack) - 1, -1, -1):
+        for i in range(len(stack) - 1, -1, -1) if any(open_[t] > 0 for t in _ENDS.get(tag, ())) else ():
             if tag in ENDED_BY.get(stack[i][0], ()):
                 leave(i)
                 break
             if stack[i][0] in BLOCKS and stack[i][0] not in ENDED_BY:
                 break
-        if token["attrs"].endswith("/") and tag in ("svg", "script"):
+        if attrs.endswith("/") and tag in ("svg", "script"):
             continue
-        hidden, by_name = _marks(token["attrs"]) if token["attrs"] and tag not in _FRAMES else (False, False)
+        hidden, by_name = _marks(attrs) if attrs and tag not in _FRAMES else (False, False)
         if tag in _ARTICLES and not inner:
             around.update(state[5] for _, state in stack if named)
         elif by_name:
