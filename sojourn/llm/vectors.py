@@ -413,9 +413,8 @@ def near_vectors(
 
     Vectors that cannot be compared link with nothing: n_links 0, their own component. So do rows
     with a null vec_id, whose component is null and which are kept. Vectors of different dimensions
-    are not compared. Rows that repeat a vec_id and its vector are vectors of their own, linked; of
-    an id's different vectors that head a class the least is compared and the others link with
-    nothing. Work within a component grows with the square of its distinct vectors, in bounded
+    are not compared. Rows that repeat a vec_id, with its vector or another one, are vectors of their
+    own. Work within a component grows with the square of its distinct vectors, in bounded
     blocks. No rows give no rows.
     """
     rows = stage(
@@ -423,9 +422,9 @@ def near_vectors(
         "vectors",
     )
     nodes = rows.where("embedding IS NOT NULL").groupBy("embedding")
-    nodes = nodes.agg(F.min("vec_id").alias("id"), F.count("*").alias("n"))
-    nodes = nodes.groupBy("id").agg(F.min(F.struct("embedding", "n")).alias("m"))
-    nodes = stage(nodes.select("id", "m.n", "m.embedding"), "nodes")
+    nodes = nodes.agg(F.min("vec_id").alias("head"), F.count("*").alias("n"))
+    # Numbers of their own, as an id may repeat with other vectors; writing makes them fast.
+    nodes = stage(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
     total = nodes.count()
     edges, graph, recall = None, None, 1.0
     for attempt in count():
@@ -453,13 +452,15 @@ def near_vectors(
         if attempt + 1 >= AUDITS and recall <= before:
             warnings.warn(f"near_vectors: the last of {attempt + 1} audits found {recall:.6f} of the links", stacklevel=2)
             break
+    labelled = nodes.join(found, "id", "left").withColumn("label", F.coalesce("component", "id"))
+    smallest = labelled.groupBy("label").agg(F.min("head").alias("smallest"))
     joined = stage(
-        nodes.join(found, "id", "left")
+        labelled.join(smallest, "label")
         .join(links, "id", "left")
         .select(
             F.col("embedding").alias("_e"),
             (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"),
-            F.coalesce("component", "id").alias("component"),
+            F.col("smallest").alias("component"),
         ),
         "joined",
     )

@@ -162,6 +162,14 @@ def test_linked_crowds_are_one_component(spark):
     assert {r.recall for r in got} == {1.0}
 
 
+def test_ids_that_repeat_with_other_vectors_lose_no_link(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.99, 0.1, 0.0]
+    rows = [(1, a), (1, b), (2, a), (3, a), (5, b), (4, c)]
+    got = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    of_a = [(1, 3, 1), (2, 3, 1), (3, 3, 1), (4, 3, 1)]
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == sorted([*of_a, (1, 1, 1), (5, 1, 1)])
+
+
 def test_vectors_empty(spark):
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
