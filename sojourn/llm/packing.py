@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import unicodedata
 import zlib
 from array import array
 
@@ -17,6 +19,8 @@ CAPACITY, END = 2048, 0
 #: Words whose ids a task remembers.
 _KNOWN = 800_000
 _SIGNS = b".,;:!?#$%&*()-"
+#: Words as the default vocabulary's file gives them (fixed value).
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _RANK_BITS = 40
@@ -32,19 +36,27 @@ def tokenizer_path() -> str:
 class WordEncoder:
     """Ids of texts as little-endian bytes; words met before are not encoded again.
 
-    The vocabulary never joins tokens across white space, so a text's ids are its words' ids. It
-    does not tell A-Z from a-z either, nor join a letter and the signs that end its word.
+    A vocabulary that composes and lower-cases its text and drops white space (``_by_words``) never
+    joins tokens across it, so a text's ids are its words' ids. It does not tell A-Z from a-z
+    either, nor join a letter and the signs that end its word. Others get whole texts.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
+        self.model.no_padding()
+        self.model.no_truncation()
+        with open(path, encoding="utf-8") as f:
+            self.by_words = _by_words(json.load(f))
         #: Words as they stand, and what was encoded for them: words without their last signs.
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
 
     def of(self, texts: list[str | None]) -> list[bytes]:
+        if not self.by_words:
+            found = self.model.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+            return [array("I", got.ids).tobytes() for got in found]
         split = []
         for text in texts:
             data = (text or "").encode("utf-8", "replace")
@@ -74,19 +86,38 @@ class WordEncoder:
                 self.parts[part] = array("I", got.ids).tobytes()
 
 
+def _by_words(spec: dict) -> bool:
+    """Whether a vocabulary file composes (NFC), lower-cases, and keeps signs by one pattern that drops white space."""
+    steps = (spec["normalizer"] or {}).get("normalizers", [])
+    cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    return (
+        [x["type"] for x in steps] == ["NFC", "Replace", "Lowercase"]
+        and steps[1]["pattern"] == {"Regex": r"\s+"}
+        and cuts[0].get("pattern") == {"Regex": _WORDS}
+        and (cuts[0]["behavior"], cuts[0]["invert"]) == ("Removed", True)
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"])
+    )
+
+
 def _ends(core: bytes, word: bytes) -> bool:
-    """Whether a token is sure to end where the signs after a word's last letter begin."""
+    """Whether a token is sure to end where the signs after a word's last letter begin.
+
+    The vocabulary composes and lower-cases first, which can turn a letter into a letter and a
+    mark; a mark is not parted from the signs behind it.
+    """
     if not core or b"'" in word or b"<|" in word:
         return False
-    return 97 <= core[-1] <= 122 or 65 <= core[-1] <= 90 or core[-1] >= 128 and core.decode()[-1].isalpha()
+    if core[-1] < 128:
+        return 97 <= core[-1] <= 122 or 65 <= core[-1] <= 90
+    return unicodedata.category(unicodedata.normalize("NFC", core.decode()).lower()[-1])[0] == "L"
+
+
+_encoders: dict[str, WordEncoder] = {}
 
 
 def _encoder(path: str) -> WordEncoder:
     """One encoder for all tasks of a worker process, so that words met by one are known to the next."""
-    import tokenizers
-
-    kept = vars(tokenizers).setdefault("_word_encoders", {})
-    return kept[path] if path in kept else kept.setdefault(path, WordEncoder(path))
+    return _encoders[path] if path in _encoders else _encoders.setdefault(path, WordEncoder(path))
 
 
 def tokenized(

@@ -1,6 +1,8 @@
 """Licenses, pages, language, toxicity and packing against brute force and on odd rows."""
 
 import re
+import time
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -183,6 +185,35 @@ def test_hidden_elements_and_comments_are_no_text():
         assert html.main_text(page) == RUNNING.strip()
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<p>x</p><div " + " ".join(f'd{i}="v"' for i in range(200)),
+        '"' * 10**6,
+        "<a " * 10**6,
+        '<a x="' * 10**5,
+        '<a x="1" ' * 10**5 + 'y=">"',
+        "<b>" * 50_000,
+        "<p>t" + "<b>" * 50_000 + "<div>" * 100,
+        "<a x='\">" * 50_000,
+        "<a" + " " * 10**6,
+        "<a =" + '= "' * 10**5,
+    ],
+)
+def test_hostile_pages_take_time_by_their_length(page):
+    start = time.process_time()
+    html.blocks(page)
+    assert time.process_time() - start < 10
+
+
+def test_tags_end_where_no_value_is_open():
+    texts = lambda page: [b.text() for b in html.blocks(page)]
+    assert texts("<p title='it\"s' data-x=\"a>b\" hidden2>hello <b c=d>there</b></p>") == ["hello there"]
+    assert texts("<p>one</p><p it's>two</p><p>three isn't</p>") == ["one", "two", "three isn't"]
+    assert texts("<p>kept</p><div class=\"cut off") == ["kept"]
+    assert texts("<p>a</p><p class=\"open>b</p><p>c</p>") == ["a", "b", "c"]
+
+
 def test_pages_odd_rows(spark):
     rows = [(1, "u", None, 5), (None, None, "<p>x", None), (2, "u", "<div>" * 20_000 + "x", 1), (2, "u", "<" * 50_000, 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
@@ -361,6 +392,31 @@ def test_encoder_cuts_only_where_tokens_end():
     assert got[-1] == b""
 
 
+def test_encoder_gives_the_ids_of_the_library_for_letters_that_fall_apart():
+    signs = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    own = packing.WordEncoder(packing.tokenizer_path())
+    assert own.by_words
+    # Letters that composing or lower-casing turns into several signs, and a sample of the others.
+    texts = [
+        f"a{c}. {c}, x{c}) {c}- ({c}!"
+        for i, c in enumerate(signs)
+        if i % 61 == 0 or len(unicodedata.normalize("NFC", c).lower()) > 1
+    ]
+    for text, got in zip(texts, own.of(texts)):
+        assert list(np.frombuffer(got, dtype="<u4")) == own.model.encode(text, add_special_tokens=False).ids, text
+
+
+def test_other_vocabularies_get_whole_texts():
+    from tokenizers import Tokenizer
+
+    path = packing.tokenizer_path().replace("word_bpe_49k", "byte_bpe_50k")
+    own, texts = packing.WordEncoder(path), ["Two  words, \n A.", "", "İstanbul (İ), İ."]
+    assert not own.by_words
+    model = Tokenizer.from_file(path)
+    want = [model.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [list(np.frombuffer(x, dtype="<u4")) for x in own.of(texts)] == want
+
+
 def test_packing_odd_rows_and_sequences(odd, none):
     rows = packing.packed_documents(odd, capacity=512).collect()
     check_packed(rows, 512)
