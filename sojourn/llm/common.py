@@ -47,6 +47,11 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side that is joined by a sort at every size: what it takes grows evenly with the input."""
+    return df.hint("merge")
+
+
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``fn(iterator of record batches)`` over the partitions of ``df``."""
     return df.mapInArrow(fn, schema)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RangeHash, arrow_map, batch_of, mix, shingles, slices, spaced_words, stage
+from .common import RangeHash, arrow_map, batch_of, mix, shingles, shuffled, slices, spaced_words, stage
 from .components import components
 
 #: Words in a shingle, and the similarity from which documents are linked, in percent.
@@ -120,7 +120,7 @@ def links(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE, percent: int
             if hits:
                 yield batch_of(_PAIRS, *zip(*hits))
 
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    both = pairs.join(shuffled(left), "a").join(shuffled(right), "b").select("a", "b", "text_a", "text_b")
     return arrow_map(both, run, "a long, b long").distinct()
 
 
@@ -173,9 +173,9 @@ def near_duplicates(
         .select("band", "key", "least"),
         "crowded",
     )
-    buckets = stage(entries.join(crowded, ["band", "key"]), "buckets")
+    buckets = stage(entries.join(shuffled(crowded), ["band", "key"]), "buckets")
     wanted = buckets.select(F.col("head").alias("doc_id")).distinct()
-    texts = stage(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), "texts")
+    texts = stage(docs.select("doc_id", "text").join(shuffled(wanted), "doc_id", "left_semi"), "texts")
 
     star = buckets.where("head > least").groupBy(F.col("head").alias("b")).agg(F.min("least").alias("a"))
     edges = stage(links(star, texts, size, percent), "links")
@@ -183,14 +183,14 @@ def near_duplicates(
 
     heads = stage(
         classes.select("set_a", "set_b", F.col("head").alias("id"))
-        .join(components(edges), "id", "left")
+        .join(shuffled(components(edges)), "id", "left")
         .select("set_a", "set_b", F.coalesce("component", "id").alias("component_id")),
         "heads",
     )
     alone = F.col("n_shingles") == 0
     return (
         known.drop("keys")
-        .join(heads, ["set_a", "set_b"], "left")
+        .join(shuffled(heads), ["set_a", "set_b"], "left")
         .select(
             "doc_id",
             "n_shingles",
@@ -212,10 +212,11 @@ def _rest(
     the others; then every pair that is still apart and not ruled out is compared.
     """
     members, split = _apart(buckets.select("band", "key", "head", "n"), components(edges))
-    members = stage(members.join(split, ["band", "key"]).select("band", "key", "head", "n"), "split-members")
-    alone = rare_shingles(texts.join(members.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi"), size)
+    members = stage(members.join(shuffled(split), ["band", "key"]).select("band", "key", "head", "n"), "split-members")
+    asked = members.select(F.col("head").alias("doc_id")).distinct()
+    alone = rare_shingles(texts.join(shuffled(asked), "doc_id", "left_semi"), size)
     members = stage(
-        members.join(alone, members["head"] == alone["doc_id"], "left")
+        members.join(shuffled(alone), members["head"] == alone["doc_id"], "left")
         .withColumn("c", F.col("n") - F.coalesce("rare", F.lit(0)))
         .where(f"100 * c >= {percent} * n")
         .drop("doc_id", "rare"),
@@ -228,14 +229,14 @@ def _rest(
         .select("band", "key", (-F.col("m.b")).alias("b"), F.col("m.n").alias("n_b"), F.col("m.c").alias("c_b")),
         "central",
     )
-    near = members.join(central, ["band", "key"]).where("head <> b").where(possible)
+    near = members.join(shuffled(central), ["band", "key"]).where("head <> b").where(possible)
     first = stage(links(stage(_ordered(near), "pairs"), texts, size, percent), "links")
 
     members, split = _apart(members, components(edges.union(first)))
     keys = classes.select(F.col("head").alias("id"), "keys")
-    members = members.join(split, ["band", "key"])
+    members = members.join(shuffled(split), ["band", "key"])
     members = stage(
-        members.join(keys, members["head"] == keys["id"]).where(F.get("keys", "band") == F.col("key")).drop("id"),
+        members.join(shuffled(keys), members["head"] == keys["id"]).where(F.get("keys", "band") == F.col("key")).drop("id"),
         "members-apart",
     )
     # The largest part of a bucket meets all others; among the others each pair comes once, and it
@@ -245,7 +246,7 @@ def _rest(
         F.col("component").alias("of_b"), F.col("keys").alias("keys_b"),
     )
     pairs = (
-        members.join(other, ["band", "key"])
+        members.join(shuffled(other), ["band", "key"])
         .where("component <> of_b AND (component = main OR head < b)")
         .where(possible)
         .where("array_position(zip_with(keys, keys_b, (x, y) -> x = y), true) = band + 1")
@@ -260,7 +261,7 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _apart(members: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``members`` with their components, and the buckets of several with the largest part's, ``main``."""
     at = stage(
-        members.join(found, members["head"] == found["id"], "left")
+        members.join(shuffled(found), members["head"] == found["id"], "left")
         .withColumn("component", F.coalesce("component", "head"))
         .drop("id"),
         "members",
