@@ -1,18 +1,15 @@
 """Splitting the timeline of a hot group over many tasks.
 
 "What comes next" questions are window scans over one (user, mentor) timeline. A timeline
-that holds a large share of the log would be one task, so hot ones are cut into slices of
-similar size along time. A single instant too big for a slice is spread over salts. Every
+with very many rows would be one task, so hot ones are cut into slices of a set number of rows
+along time. A single instant too big for a slice is spread over salts. Every
 (slice, salt) is a *lane*: a scan runs per lane, and one small row per lane carries what lies
 in later slices back into it. All other timelines use lane 0 and need none of this.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
-from datetime import timedelta
-from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,124 +22,73 @@ _SALTS = 1 << 20  # lane = slice * _SALTS + salt
 class SkewPolicy:
     """When a timeline counts as hot, and how finely the hot ones are cut.
 
-    A hot timeline has at least ``min_rows`` rows and at least ``share`` of the log, hence
-    there are at most ``1 / share`` of them. They are cut on a grid of ``grid`` quantiles in
-    proportion to their share, hence there are at most ``grid + 2 / share`` slices. Both
-    bounds hold whatever the size of the log.
+    A timeline with more than ``target_rows`` rows is cut into slices of about that many, at most
+    twice as many, however long the log is; an instant with more is spread over salts. Instants are
+    counted in stretches of ``grain`` time and the stretches added up, so no task sees all instants
+    of a timeline. There are at most 3 slices for every ``target_rows`` rows of the log.
     """
 
-    share: float = 1 / 1000
-    min_rows: int = 1_000_000
-    grid: int = 2048
-    boundary_rows: int = 1_000_000
-
-    @property
-    def max_hot(self) -> int:
-        return ceil(1 / self.share)
+    target_rows: int = 1_000_000
+    grain: str = "1 hour"
 
 
 def hot_timelines(events: DataFrame, policy: SkewPolicy = SkewPolicy()) -> DataFrame | None:
     """Slices for the hot (user, mentor) timelines of ``events``; None when there is none.
 
-    Frequent-item sketches per group of map tasks, merged in a second step, find the
-    candidates without shuffling the log. Boundaries come from quantiles over a thinned set
-    of the candidates' rows: they only decide where a timeline is cut, every row is still
-    placed in its slice.
+    Rows are counted by timeline, then those of hot ones by instant; where the running number of
+    rows passes a multiple of the target, a slice begins. All of it is grouping and shuffling; the
+    driver learns only whether a timeline is hot.
     """
-    if events.count() < policy.min_rows:
+    rows = events.select(
+        F.col("user_id").cast("bigint").alias("user_id"),
+        F.trim("mentor_id").alias("mentor_id"),
+        F.col("timestamp").cast("timestamp_ntz").alias("at"),
+    ).dropna()
+    target = policy.target_rows
+    counts = rows.groupBy(*PAIR).agg(F.count("*").alias("rows")).filter(F.col("rows") > target)
+    if counts.isEmpty():
         return None
-    spark = events.sparkSession
-    keyed = (
-        events.select(
-            F.col("user_id").cast("bigint").alias("user_id"),
-            F.trim("mentor_id").alias("mentor_id"),
-            F.col("timestamp").cast("timestamp_ntz").alias("at"),
-            "event_id",
-        )
-        .dropna(subset=[*PAIR, "at"])
-        .withColumn("pair", F.xxhash64(*PAIR))
+    stretch = F.window("at", policy.grain)["start"]
+    instants = (
+        rows.join(counts.select(*PAIR), PAIR, "left_semi")
+        .groupBy(*PAIR, "at")
+        .agg(F.count("*").alias("n"))
+        .withColumn("stretch", stretch)
     )
-    tracked = 8 * policy.max_hot
-    sketch = (
-        keyed.select("pair", F.pmod(F.spark_partition_id(), F.lit(256)).alias("part"))
-        .groupBy("part")
-        .agg(
-            F.count("*").alias("n"),
-            F.expr(f"approx_top_k_accumulate(pair, {tracked})").alias("s"),
-        )
-        .groupBy(F.lit("all"))  # grouped, because merging no sketches at all fails
-        .agg(
-            F.sum("n").alias("n"),
-            F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"),
-        )
-        .selectExpr("n", f"approx_top_k_estimate(s, {policy.max_hot}) AS top")
-        .first()
+    in_pair = Window.partitionBy(*PAIR).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*PAIR, "stretch").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0)
+    stretches = (
+        instants.groupBy(*PAIR, "stretch")
+        .agg(F.sum("n").alias("n"))
+        .select(*PAIR, "stretch", F.coalesce(F.sum("n").over(in_pair), zero).alias("earlier"))
     )
-    if sketch is None:
-        return None
-    total = sketch.n
-    floor = max(policy.min_rows, policy.share * total)
-    counts = {row.item: row["count"] for row in sketch.top if row["count"] >= floor}
-    if not counts:
-        return None
-
-    thin = max(1, sum(counts.values()) // policy.boundary_rows)
-    rows = keyed.filter(F.col("pair").isin(list(counts)))
-    if thin > 1:
-        rows = rows.filter(F.pmod(F.xxhash64("event_id", "at"), F.lit(thin)) == 0)
-    sizes = spark.createDataFrame(
-        [
-            (pair, min(ceil(n / policy.min_rows), ceil(policy.grid * n / total)) + 1)
-            for pair, n in counts.items()
-        ],
-        "pair bigint, slices int",
+    bounds = (
+        instants.withColumn("before", F.coalesce(F.sum("n").over(inside), zero))
+        .join(stretches, [*PAIR, "stretch"])
+        .withColumns(
+            {
+                "part": F.floor((F.col("earlier") + F.col("before")) / target),
+                "salts": F.ceil(F.col("n") / target).cast("int"),
+            }
+        )
+        # An instant of several salts is a slice of its own; the next one lies in a later part.
+        .groupBy(*PAIR, "part", F.col("salts") > 1)
+        .agg(F.min("at").alias("at"), F.max("salts").alias("salts"))
     )
-    steps = [i / policy.grid for i in range(1, policy.grid)]
-    grids = (
-        rows.groupBy("pair", *PAIR)
-        .agg(F.percentile_approx("at", steps, 4 * policy.grid).alias("grid"))
-        .join(F.broadcast(sizes), "pair")
+    return (
+        bounds.groupBy(*PAIR)
+        .agg(F.sort_array(F.collect_list(F.struct("at", "salts"))).alias("b"))
+        .withColumn("width", F.greatest(F.lit(1), F.floor(F.sqrt(F.size("b")))).cast("int"))
+        .withColumn("starts", F.sequence(F.lit(0), F.size("b") - 1, F.col("width")))
         .select(
             *PAIR,
-            F.transform(
-                F.sequence(F.lit(1), F.col("slices") - 1),
-                lambda i: F.element_at(
-                    "grid",
-                    F.least(
-                        F.lit(policy.grid - 1),
-                        F.greatest(F.lit(1), (i * policy.grid / F.col("slices")).cast("int")),
-                    ),
-                ),
-            ).alias("cuts"),
+            F.transform("starts", lambda i: F.get(F.col("b"), i)["at"]).alias("heads"),
+            F.transform("starts", lambda i: F.slice("b.at", i + 1, F.col("width"))).alias("chunks"),
+            "starts",
+            F.concat(F.array(F.lit(1)), F.col("b.salts")).alias("salts"),
         )
     )
-    placed = [(r.user_id, r.mentor_id, *_layout(r.cuts)) for r in grids.toLocalIterator()]
-    return spark.createDataFrame(
-        placed,
-        "user_id bigint, mentor_id string, heads array<timestamp_ntz>,"
-        " chunks array<array<timestamp_ntz>>, starts array<int>, salts array<int>",
-    )
-
-
-def _layout(cuts):
-    """Two-level boundary list, and the number of salts of every slice.
-
-    A boundary that repeats marks an instant with more rows than a slice should have: it
-    becomes a slice of its own, spread over as many salts as it had repeats.
-    """
-    seen = Counter(cuts)
-    salts = {}
-    bounds = set()
-    for at, n in seen.items():
-        bounds.add(at)
-        if n > 1:
-            salts[at] = n
-            bounds.add(at + timedelta(microseconds=1))
-    bounds = sorted(bounds)
-    width = max(1, isqrt(len(bounds)))
-    chunks = [bounds[i : i + width] for i in range(0, len(bounds), width)]
-    starts = [i * width for i in range(len(chunks))]
-    return [c[0] for c in chunks], chunks, starts, [1] + [salts.get(b, 1) for b in bounds]
 
 
 def _place(joined: DataFrame) -> DataFrame:
@@ -177,7 +123,7 @@ def assign(df: DataFrame, hot: DataFrame | None, usable: Column):
     if hot is None:
         return df.withColumn("lane", F.when(usable, zero).otherwise(aside)), None
     lane = F.col("slice").cast("bigint") * _SALTS + F.pmod(spread, F.col("pieces"))
-    # At most 1 / share rows: a bound that does not depend on the log.
+    # A row for each hot timeline and three entries for every target's worth of the log's rows, at most.
     slices = F.broadcast(hot)
     rows = _place(df.join(slices, PAIR, "left")).select(
         *df.columns, F.when(~usable, aside).otherwise(F.coalesce(lane, zero)).alias("lane")

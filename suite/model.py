@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sojourn.operators import pairing, scd2
+from sojourn.operators import lanes, pairing, scd2
 from sojourn.plans import dims, facts
 from sojourn.session import new_folder
 from sojourn.streaming import sessions as streamed
@@ -129,6 +129,26 @@ def probed_log(spark, sf_dir) -> tuple[DataFrame, DataFrame | None]:
     return log, pairing.hot_timelines(log)
 
 
+#: Rows in a slice of a timeline where slices are to be seen on little data.
+SMALL_SLICES = lanes.SkewPolicy(target_rows=100)
+
+
+def hot_log(spark, sf_dir) -> DataFrame:
+    """The event log with a third of its rows in one timeline, and a tenth of those at one instant a day."""
+    log = event_log(spark, sf_dir)
+    n = F.col("event_id").cast("bigint")
+    hot = n % 3 == 0
+    return log.select(
+        "event_id",
+        F.when(hot, F.lit(1).cast("bigint")).otherwise(F.col("user_id")).alias("user_id"),
+        F.when(hot, "M1").otherwise(F.col("mentor_id")).alias("mentor_id"),
+        F.when(hot & (n % 30 == 0), F.col("timestamp").cast("date").cast("timestamp_ntz"))
+        .otherwise(F.col("timestamp"))
+        .alias("timestamp"),
+        "event_type",
+    )
+
+
 def fct_sessions(log: DataFrame, hot: DataFrame | None) -> DataFrame:
     return facts.sessions(pairing.sessions(log, hot), 30, AS_OF)
 

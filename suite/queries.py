@@ -43,6 +43,19 @@ def bookings_paired(spark, sf_dir):
     return pairing.bookings(*m.probed_log(spark, sf_dir))
 
 
+@query
+def sessions_hot(spark, sf_dir):
+    """Sessions where one timeline has a third of the log, cut into many slices."""
+    log = m.hot_log(spark, sf_dir)
+    return pairing.sessions(log, pairing.hot_timelines(log, m.SMALL_SLICES))
+
+
+@query
+def bookings_hot(spark, sf_dir):
+    log = m.hot_log(spark, sf_dir)
+    return pairing.bookings(log, pairing.hot_timelines(log, m.SMALL_SLICES))
+
+
 @query
 def fct_sessions(spark, sf_dir):
     return m.fct_sessions(*m.probed_log(spark, sf_dir)).drop("inserted_at")

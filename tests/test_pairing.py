@@ -100,9 +100,9 @@ def test_matches_brute_force(spark, seed):
 @pytest.mark.parametrize(
     "seed,policy",
     [
-        (3, SkewPolicy(share=1 / 4, min_rows=50, grid=64)),
-        (4, SkewPolicy(share=1 / 300, min_rows=5, grid=512)),
-        (5, SkewPolicy(share=1 / 4, min_rows=20, grid=256, boundary_rows=300)),
+        (3, SkewPolicy(50)),
+        (4, SkewPolicy(7, "10 minutes")),
+        (5, SkewPolicy(20, "7 days")),
     ],
 )
 def test_hot_timelines_give_the_same(spark, seed, policy):
@@ -123,20 +123,21 @@ def test_no_hot_timeline(spark):
     assert hot_timelines(log.limit(0)) is None
 
 
-def test_hot_lanes_spread_rows(spark):
-    """No lane of the hot timeline holds more than a small part of it."""
+@pytest.mark.parametrize("times", [1, 8])
+def test_lanes_stay_as_small_when_the_log_grows(spark, times):
+    """The largest lane is bounded by the target alone, and lanes are not cut for nothing."""
     from pyspark.sql import functions as F
 
     from sojourn.operators import pairing
 
-    rows = mixed_log(8)
-    log = spark.createDataFrame(rows, SCHEMA)
-    hot = hot_timelines(log, SkewPolicy(share=1 / 4, min_rows=20, grid=512))
-    spread, _, _ = pairing._timeline(log, list(EVENT_TYPES), hot)
-    sizes = [
-        r["count"] for r in spread.filter(F.col("user_id") == 7777).groupBy("lane").count().collect()
-    ]
-    assert max(sizes) < 0.1 * sum(sizes)
+    rows = [r for r in mixed_log(8) if r[3] is not None]
+    rows = [(f"{k}{r[0]}", *r[1:3], r[3] + timedelta(days=k), r[4]) for k in range(times) for r in rows]
+    log, target = spark.createDataFrame(rows, SCHEMA), 60
+    spread, _, usable = pairing._timeline(log, list(EVENT_TYPES), hot_timelines(log, SkewPolicy(target)))
+    lanes = spread.filter(usable).groupBy("user_id", "mentor_id", "lane").count()
+    sizes = [r["count"] for r in lanes.filter(F.col("user_id") == 7777).collect()]
+    assert max(sizes) <= 2 * target
+    assert len(sizes) <= 3 * sum(sizes) / target + 1
 
 
 def one_timeline(spark, *steps):
