@@ -60,6 +60,80 @@ def rebooking(sessions: DataFrame, dim: DataFrame, group_a=("Gold",),
     )
 
 
+def return_gaps(sessions: DataFrame, dim: DataFrame, tier_sets: list[list[str]]) -> DataFrame:
+    """(tier_set, mentor_tier, days, users): how many users come back after how many days at the earliest.
+
+    A user counts once for each set of tiers with a session in it, under the tier of the first of
+    those sessions. ``days`` is the smallest window that holds the second one, null if there is
+    none. The first two sessions in each tier decide about every set, so the log is read once, and
+    a user takes at most two rows for each tier.
+    """
+    ours = _with_tier(
+        sessions.select("user_id", "mentor_id", "started_at", "session_id"),
+        dim.filter(F.col("valid_to").isNull()),
+    ).filter(F.col("tier").isin(sorted({t for tiers in tier_sets for t in tiers})))
+    order = [F.col("started_at").asc_nulls_last(), F.col("session_id").asc_nulls_last()]
+    two = first_per_key(ours.select("user_id", "started_at", "session_id", "tier"), ["user_id", "tier"], order, n=2)
+    visit = F.struct(
+        F.col("started_at").isNull().alias("no_time"),
+        F.unix_micros(F.col("started_at").cast("timestamp")).alias("at"),
+        F.col("session_id").isNull().alias("no_id"),
+        "session_id",
+        "tier",
+    )
+    users = two.groupBy("user_id").agg(F.sort_array(F.collect_list(visit)).alias("visits"))
+
+    def among(tiers: list[str]):
+        return F.filter("visits", lambda v: v["tier"].isin(tiers))
+
+    in_set = [F.struct(F.lit(i).alias("tier_set"), among(tiers).alias("v")) for i, tiers in enumerate(tier_sets)]
+    first, second = F.get("v", F.lit(0)), F.get("v", F.lit(1))
+    day = F.expr("86400000000L")
+    gap = F.when(F.col("user_id").isNotNull(), second["at"] - first["at"])
+    return (
+        users.select("user_id", F.inline(F.array(*in_set)))
+        .filter(F.size("v") > 0)
+        .select("tier_set", first["tier"].alias("mentor_tier"), F.ceil(gap / day).alias("days"))
+        .groupBy("tier_set", "mentor_tier", "days")
+        .agg(F.count("*").alias("users"))
+    )
+
+
+def what_if(sessions: DataFrame, dim: DataFrame, groupings: list[tuple], windows: range) -> DataFrame:
+    """What :func:`rebooking` gives for every window of days and every pair (group_a, group_b) of tiers.
+
+    All of it comes from one table of gaps, which has at most a row for each set, tier and day; the
+    users who came back within a window are those with a gap up to it. Adds ``grouping``, the
+    place in ``groupings``, and ``window_days``.
+    """
+    spark = sessions.sparkSession
+    rows = [
+        (i, tier, "/".join(group))
+        for i, pair in enumerate(groupings)
+        for group in reversed(pair)
+        for tier in group
+    ]
+    # A tier in both groups belongs to the first.
+    labels = {(i, tier): label for i, tier, label in rows}
+    named = spark.createDataFrame(
+        [(*k, v) for k, v in labels.items()], "tier_set int, mentor_tier string, label string"
+    )
+    gaps = return_gaps(sessions, dim, [[*a, *b] for a, b in groupings])
+    grouped = (
+        gaps.join(F.broadcast(named), ["tier_set", "mentor_tier"])
+        .groupBy("tier_set", "label", F.col("days"))
+        .agg(F.sum("users").alias("users"))
+    )
+    within = F.array(*[F.struct(F.lit(w).alias("window_days")) for w in windows])
+    soon = F.when(F.col("days") <= F.col("window_days"), F.col("users")).otherwise(0)
+    return (
+        grouped.select("*", F.inline(within))
+        .groupBy(F.col("tier_set").alias("grouping"), "window_days", F.col("label").alias("mentor_tier"))
+        .agg(F.sum("users").alias("total_users"), F.sum(soon).alias("users_rebooked"))
+        .withColumn("rebooking_rate_pct", F.round(F.col("users_rebooked") / F.col("total_users") * 100, 1))
+    )
+
+
 def with_wilson(df: DataFrame, k: str = "users_rebooked", n: str = "total_users",
                 z: float = 1.96) -> DataFrame:
     low, high = wilson(F.col(k), F.col(n), z)

@@ -29,6 +29,13 @@ MENTORS = 25
 AS_OF = datetime(2024, 2, 1)
 LATER = datetime(2024, 3, 1)
 LAST = datetime(2024, 4, 1)
+#: Groups of order priorities to compare.
+GROUPINGS = [
+    (["1-URGENT", "2-HIGH"], ["3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]),
+    (["1-URGENT"], ["5-LOW"]),
+    (["3-MEDIUM"], ["1-URGENT", "4-NOT SPECIFIED"]),
+    (["2-HIGH", "5-LOW"], ["3-MEDIUM"]),
+]
 FIRST_BATCH_ENDS = "2024-01-16"
 
 

@@ -150,9 +150,8 @@ def rebooking_custom_groups(spark, sf_dir):
     return _rate(spark, sf_dir, ["Silver"], ["Gold"], 1)
 
 
-@query
-def rebooking_orders(spark, sf_dir):
-    """Orders as sessions and their priority as the tier: repeat purchases in 30 days."""
+def _order_visits(spark, sf_dir):
+    """Orders as sessions and their priority as the tier."""
     orders = m.table(spark, sf_dir, "orders")
     visits = orders.select(
         F.col("o_custkey").alias("user_id"),
@@ -166,10 +165,23 @@ def rebooking_orders(spark, sf_dir):
         F.lit("1990-01-01").cast("date").alias("valid_from"),
         F.lit(None).cast("date").alias("valid_to"),
     )
-    return analysis.rebooking(visits, desks, ["1-URGENT", "2-HIGH"],
+    return visits, desks
+
+
+@query
+def rebooking_orders(spark, sf_dir):
+    """Repeat purchases in 30 days."""
+    return analysis.rebooking(*_order_visits(spark, sf_dir), ["1-URGENT", "2-HIGH"],
                               ["3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"], 30)
 
 
+@query
+def rebooking_windows(spark, sf_dir):
+    """Repeat purchases in 1 to 90 days, for several groupings at once, with their intervals."""
+    rates = analysis.what_if(*_order_visits(spark, sf_dir), m.GROUPINGS, range(1, 91))
+    return analysis.with_wilson(rates)
+
+
 @query
 def rebooking_ci(spark, sf_dir):
     return analysis.with_wilson(_rate(spark, sf_dir, ["Gold"], ["Silver", "Bronze"], 3))

@@ -138,3 +138,27 @@ def test_rank_is_limited_before_the_shuffle(world):
     """Each map task passes on two rows per user, however many the user has."""
     plan = analysis.rebooking(world["s"], world["dim"])._jdf.queryExecution().executedPlan().toString()
     assert "row_number(), 2, Partial" in plan
+
+
+def test_all_windows_at_once_equal_single_ones(spark):
+    """Repeated tiers, users without id or time, ties: as one question for each window and grouping."""
+    rng = random.Random(4)
+    rows = [
+        (rng.choice([None, *range(25)]), f"m{rng.randint(1, 4)}",
+         None if rng.random() < 0.05 else datetime(2025, 1, 1) + timedelta(hours=12 * rng.randint(0, 80)),
+         rng.choice([None, "a", "b", f"s{i}"]))
+        for i in range(160)
+    ]
+    facts = spark.createDataFrame(rows, "user_id bigint, mentor_id string, started_at timestamp_ntz, session_id string")
+    dim = spark.createDataFrame(
+        [("m1", "Gold", None), ("m2", "Silver", None), ("m3", "Bronze", None), ("m4", "Gold", None)],
+        "mentor_id string, tier string, valid_to timestamp",
+    ).withColumn("valid_from", F.lit("2020-01-01").cast("timestamp"))
+    groupings = [(["Gold"], ["Silver", "Bronze"]), (["Bronze", "Gold"], ["Silver"]), (["Silver"], ["Gold", "Silver"])]
+    columns = ["mentor_tier", "total_users", "users_rebooked", "rebooking_rate_pct"]
+    table = analysis.what_if(facts, dim, groupings, range(1, 12)).collect()
+    for i, (a, b) in enumerate(groupings):
+        for days in (1, 2, 5, 11):
+            want = analysis.rebooking(facts, dim, a, b, days).select(columns).collect()
+            got = [tuple(r[c] for c in columns) for r in table if (r.grouping, r.window_days) == (i, days)]
+            assert sorted(got) == sorted(map(tuple, want))
