@@ -74,6 +74,22 @@ def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     )
 
 
+def carried(df: DataFrame, *needed: str) -> DataFrame:
+    """``needed`` columns as they are, and all others in one column ``_row``, whatever their names."""
+    others = [named(c) for c in df.columns if c not in needed]
+    row = F.struct(*others) if others else F.lit(None).cast("struct<_: int>")
+    return df.select(*[c for c in df.columns if c in needed], row.alias("_row"))
+
+
+def unpacked(columns: list[str], *needed: str) -> list[Column]:
+    """The ``columns`` of a frame that was ``carried``, in their order."""
+    return [named(c) if c in needed else F.col("_row").getField(c).alias(c) for c in columns]
+
+
+def named(column: str) -> Column:
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def word_count(text: Column) -> Column:
     """Number of words of ``[^\\x20\\x09-\\x0D]+``; null counts 0. No array of words is built."""
     squeezed = F.regexp_replace(F.coalesce(text, F.lit("")), SPACED_WORD, "w")

@@ -7,7 +7,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RangeHash, arrow_map, batch_of, mix, shingles, shuffled, slices, spaced_words, stage
+from .common import (
+    RangeHash,
+    arrow_map,
+    batch_of,
+    carried,
+    mix,
+    shingles,
+    shuffled,
+    slices,
+    spaced_words,
+    stage,
+    unpacked,
+)
 from .components import components
 
 #: Words in a shingle, and the similarity from which documents are linked, in percent.
@@ -277,6 +289,13 @@ def _apart(members: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def one_per_group(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that :func:`near_duplicates` keeps, equal rows once, columns as they are."""
+    """The rows of ``docs`` that :func:`near_duplicates` keeps, equal rows once, columns as they are.
+
+    Rows with null ids or without words stay. Columns may have any names and types. No rows give no rows.
+    """
     gone = near_duplicates(docs, **settings).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns).distinct()
+    left = carried(docs, "doc_id", "text").join(gone, "doc_id", "left_anti")
+    # Maps cannot be compared; their rows are by what they are written as.
+    key = F.sha2(F.to_json("_row"), 256) if "map<" in docs.schema.simpleString() else F.col("_row")
+    once = left.withColumn("_key", key).dropDuplicates(["doc_id", "text", "_key"])
+    return once.select(unpacked(docs.columns, "doc_id", "text"))

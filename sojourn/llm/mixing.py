@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage, word_count
+from .common import carried, named, stage, unpacked, word_count
+
+#: The columns that are read; all others are carried.
+_READ = ("doc_id", "text", "source")
 
 #: Weights of the sources in order, repeating; the mix's words, percent of all; uses of a source at most.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 150, 2
@@ -79,7 +82,8 @@ def mixed(docs: DataFrame, pieces: int = PIECES, **settings) -> DataFrame:
     other. No rows give no rows.
     """
     made = ("size", "source_size", "target", "taken", "position", "times")
-    kept = docs.drop(*made)
+    columns = [c for c in docs.columns if c not in made]
+    kept = carried(docs.select(*map(named, columns)), *_READ)
     sized = kept.withColumn("size", word_count(F.col("text"))).withColumn(
         "_order", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     )
@@ -133,14 +137,26 @@ def mixed(docs: DataFrame, pieces: int = PIECES, **settings) -> DataFrame:
         F.expr(f"transform(sequence(0, times), pass -> {due})").alias("_all"),
         "times",
     ).select(
-        *kept.columns, "size", "source_size", "target", "taken", F.expr("slice(_all, 1, times)").alias("position")
+        *unpacked(columns, *_READ),
+        "size",
+        "source_size",
+        "target",
+        "taken",
+        F.expr("slice(_all, 1, times)").alias("position"),
     )
 
 
 def curriculum(docs: DataFrame, **settings) -> DataFrame:
-    """The training order: each document once for each time it is taken, columns as they are, range-sorted."""
-    due = mixed(docs, **settings).select(*docs.columns, F.explode("position").alias("_due"))
-    return due.repartitionByRange("_due", "doc_id").sortWithinPartitions("_due", "doc_id").drop("_due")
+    """The training order: each document once for each time it is taken, columns as they are, range-sorted.
+
+    Documents without words, null texts among them, are not lost: they come as often as their place says.
+    Equal rows stand together; null ids come first among equals. Columns may have any names and types.
+    No rows give no rows.
+    """
+    own = carried(docs, *_READ)
+    due = mixed(own, **settings).select(*own.columns, F.explode("position").alias("_due"))
+    due = due.repartitionByRange("_due", "doc_id").sortWithinPartitions("_due", "doc_id")
+    return due.select(unpacked(docs.columns, *_READ))
 
 
 def places(docs: DataFrame, **settings) -> DataFrame:

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import carried, stage, unpacked
 
 #: Kinds in order; the first four have base rules, the others come from the method alone.
 KINDS = ("email", "ip", "card", "phone", "secret", "ssn", "iban")
@@ -422,11 +422,12 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def without_personal_data(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data in ``text`` redacted, and ``n_chars``, where it has one, counted anew."""
-    changed = personal_data(docs).withColumn("text", redacted(F.col("text"), F.col("spans")))
+    read = ("doc_id", "text", "n_chars")
+    changed = personal_data(carried(docs, *read)).withColumn("text", redacted(F.col("text"), F.col("spans")))
     if "n_chars" in docs.columns:
         # A count that was missing stays missing.
         anew = (F.size("spans") > 0) & F.col("n_chars").isNotNull()
         changed = changed.withColumn(
             "n_chars", F.when(anew, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
         )
-    return changed.select(docs.columns)
+    return changed.select(unpacked(docs.columns, *read))

@@ -6,8 +6,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import RangeHash, arrow_map, slices, word_bounds
+from .common import RangeHash, arrow_map, carried, slices, unpacked, word_bounds
 
 #: Hard rules: words at least; share of words in repeated 3-word windows at most, percent.
 MIN_WORDS, MAX_REPEAT = 50, 50
@@ -59,11 +60,7 @@ def measured(docs: DataFrame) -> DataFrame:
             added = [pa.array(c, type=pa.int64()) for c in zip(*rows)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, *METRICS])
 
-    return arrow_map(kept, run, f"{_ddl(kept)}, " + ", ".join(f"{c} long" for c in METRICS))
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return arrow_map(kept, run, StructType([*kept.schema, *(StructField(c, LongType()) for c in METRICS)]))
 
 
 def base_failed() -> Column:
@@ -129,7 +126,11 @@ def judged(metrics: DataFrame, hosts: DataFrame, host: str = "source", limit: fl
 
 
 def good(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The rows of ``docs`` that are kept, columns as they are; metrics are taken twice, not stored."""
-    metrics = measured(docs)
+    """The rows of ``docs`` that are kept, columns as they are; metrics are taken twice, not stored.
+
+    Rows with null text go, null hosts are one host, and equal rows are judged alike. Columns may have
+    any names and types. No rows give no rows.
+    """
+    metrics = measured(carried(docs, host, "text"))
     hosts = host_rates(measured(docs.select(host, "text")), host)
-    return judged(metrics, hosts, host).where("kept").select(docs.columns)
+    return judged(metrics, hosts, host).where("kept").select(unpacked(docs.columns, host, "text"))

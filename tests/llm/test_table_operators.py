@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sojourn.llm import minhash, mixing, oracle, pii, quality, queries, vectors
-from sojourn.llm.common import RangeHash, shingles, spaced_words, table, word_count
+from sojourn.llm.common import RangeHash, shingles, spaced_words, stage, table, word_count
 from sojourn.llm.components import components
 
 from .conftest import PROSE, odd_rows
@@ -376,6 +376,26 @@ def test_pipeline_stages_take_effect(spark, given):
     assert len(corpus_pipeline.run(spark, given).collect()) == len(rows)
 
 
+def test_stages_give_columns_of_any_name_back(spark, odd):
+    """Names that the operators use themselves, and types that cannot be compared, keep their values."""
+    names = ["before", "w0", "w1", "_s", "_p", "_row", "_host", "_rate", "candidates", "times", "position", "a.b", "_key"]
+    tag = F.coalesce(F.md5("text"), F.lit("none"))
+    docs = odd.select(
+        *odd.columns,
+        *[F.concat(F.lit(n), tag).alias(n) for n in names],
+        F.create_map(F.lit("k"), tag).alias("map"),
+        F.struct(tag.alias("candidates")).alias("nested"),
+    ).withColumns({c: F.concat(F.lit(c), tag) for c in ("kept", "spans", "size", "score", "n_words", "id")})
+    docs = stage(docs, "named")
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    plain = lambda r: repr([r[c] for c in others])
+    given = {plain(r) for r in docs.collect()}
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        rows = step(spark, docs, "").collect()
+        assert rows and rows[0].__fields__ == docs.columns, name
+        assert {plain(r) for r in rows} <= given, name
+
+
 def test_pipeline_odd_rows(spark, odd, none):
     for docs in (odd, none):
         for _, step in corpus_pipeline.STAGES[:-1]:
