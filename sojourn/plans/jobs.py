@@ -18,7 +18,8 @@ from . import analysis, dims, facts, quality
 log = logging.getLogger(__name__)
 
 TABLES = ["raw_users", "raw_mentors", "raw_events", "snap_mentors", "dim_users",
-          "dim_mentors", "fct_sessions", "fct_bookings", "touched_events", "paired_batches"]
+          "dim_mentors", "fct_sessions", "fct_bookings", "touched_events", "paired_batches",
+          "new_dim_users", "new_snap_mentors", "new_fct_sessions", "new_fct_bookings"]
 MODES = ("full", "ingest-only", "transform-only", "analysis-only")
 
 
@@ -149,29 +150,54 @@ def new_between(wh: Warehouse, since: list[int] | None, kind: str, column: str,
 
 
 def transform(wh: Warehouse, params: Params, as_of: datetime | None = None,
-              policy: SkewPolicy = SkewPolicy()) -> DataFrame:
-    """Build dimensions and facts from the raw tables; return the row counts."""
+              policy: SkewPolicy = SkewPolicy(), audited: bool = False) -> DataFrame:
+    """Build dimensions and facts from the raw tables; return the row counts.
+
+    New rows are written aside first. With ``audited`` they are checked there, and a failed check
+    leaves snapshot, dimensions and facts as they were: stored facts never change, so a bad row
+    would stay for good.
+    """
     as_of = as_of or dims.now()
-    users = dims.users(dims.stg_users(wh.read("raw_users")), as_of)
-    wh.append_new(users, "dim_users", "user_hk", null_keys=False)
+    known = wh.batches("raw_events")
+    since = build(wh, params, as_of, policy)
+    if audited:
+        audit(wh, params)
+    publish(wh, known, since)
+    return row_counts(marts(wh))
+
 
+def build(wh: Warehouse, params: Params, as_of: datetime, policy: SkewPolicy) -> list[int] | None:
+    """Write what would be added to ``new_...`` tables; return the event batches it is about."""
+    wh.replace(dims.users(dims.stg_users(wh.read("raw_users")), as_of), "new_dim_users")
     sheet = dims.stg_mentors(wh.latest("raw_mentors"))
     before = wh.latest("snap_mentors") if wh.exists("snap_mentors") else None
-    wh.replace(scd2.apply(before, sheet, "mentor_id", ["tier"], as_of), "snap_mentors")
-    wh.replace(dims.mentors(wh.latest("snap_mentors")), "dim_mentors")
-
-    known = wh.batches("raw_events")
+    wh.replace(scd2.apply(before, sheet, "mentor_id", ["tier"], as_of), "new_snap_mentors")
     events, since = events_to_pair(wh)
-    newest = max(known, default=None)
     hot = pairing.hot_timelines(events, policy)
     sessions = facts.sessions(pairing.sessions(events, hot), params.default_minutes, as_of)
-    wh.append_new(sessions, "fct_sessions", "session_hk", null_keys=False, batch=newest,
+    wh.replace(sessions, "new_fct_sessions")
+    wh.replace(facts.bookings(pairing.bookings(events, hot), as_of), "new_fct_bookings")
+    return since
+
+
+def audit(wh: Warehouse, params: Params) -> None:
+    """Raise if what :func:`build` wrote, or the raw tables it came from, breaks a halting check."""
+    new = {t: wh.latest(f"new_{t}") for t in ("dim_users", "fct_sessions", "fct_bookings")}
+    new["dim_mentors"] = dims.mentors(wh.latest("new_snap_mentors"))
+    _evaluate(checks(wh, params, new), new["dim_mentors"])
+
+
+def publish(wh: Warehouse, known: list[int], since: list[int] | None) -> None:
+    """Add what :func:`build` wrote to snapshot, dimensions and facts."""
+    newest = max(known, default=None)
+    wh.append_new(wh.latest("new_dim_users"), "dim_users", "user_hk", null_keys=False)
+    wh.replace(wh.latest("new_snap_mentors"), "snap_mentors")
+    wh.replace(dims.mentors(wh.latest("snap_mentors")), "dim_mentors")
+    wh.append_new(wh.latest("new_fct_sessions"), "fct_sessions", "session_hk", null_keys=False, batch=newest,
                   within=new_between(wh, since, "session_started", "started_at"))
-    bookings = facts.bookings(pairing.bookings(events, hot), as_of)
-    wh.append_new(bookings, "fct_bookings", "booking_hk", null_keys=False, batch=newest,
+    wh.append_new(wh.latest("new_fct_bookings"), "fct_bookings", "booking_hk", null_keys=False, batch=newest,
                   within=new_between(wh, since, "booking_requested", "requested_at"))
     mark_paired(wh, known)
-    return row_counts(marts(wh))
 
 
 def marts(wh: Warehouse) -> dict[str, DataFrame]:
@@ -183,13 +209,13 @@ def marts(wh: Warehouse) -> dict[str, DataFrame]:
     }
 
 
-def checks(wh: Warehouse, params: Params) -> DataFrame:
-    """All declared and business checks over the warehouse.
+def checks(wh: Warehouse, params: Params, m: dict[str, DataFrame] | None = None) -> DataFrame:
+    """All declared and business checks over the warehouse, or over dimensions and facts ``m`` in it.
 
     The checks on pairs are about the anchors alone; Spark drops the pairing from their plan.
     """
     events = wh.read("raw_events")
-    m = marts(wh)
+    m = m or marts(wh)
     frames = {
         "raw_users": wh.read("raw_users"),
         "raw_mentors": wh.latest("raw_mentors"),
@@ -206,11 +232,15 @@ def checks(wh: Warehouse, params: Params) -> DataFrame:
 
 def validate(wh: Warehouse, params: Params) -> list[str]:
     """Raise on failed checks, with the tiers at hand if it is about tiers; return warnings."""
+    return _evaluate(checks(wh, params), wh.latest("dim_mentors"))
+
+
+def _evaluate(found: DataFrame, mentors: DataFrame) -> list[str]:
     try:
-        return quality.evaluate(checks(wh, params))
+        return quality.evaluate(found)
     except quality.CheckFailed as failure:
         if "configured_tiers" in str(failure):
-            names = [r.tier for r in quality.available_tiers(wh.latest("dim_mentors")).toLocalIterator()]
+            names = [r.tier for r in quality.available_tiers(mentors).toLocalIterator()]
             raise quality.CheckFailed(f"{failure}; available tiers: {names}") from failure
         raise
 
@@ -261,8 +291,11 @@ def run(wh: Warehouse, params: Params | None = None, sources: dict[str, str] | N
             ingest_mentors(wh, sources["mentors"])
             out["new_events"] = ingest_events(wh, sources["events"])
         if mode in ("full", "transform-only"):
-            out["row_counts"] = transform(wh, params, as_of)
-            out["warnings"] += validate(wh, params)
+            out["row_counts"] = transform(wh, params, as_of, audited=True)
+            # What was added has passed; rules that only warn are about all that is stored.
+            m = marts(wh)
+            rules = quality.business(m["fct_sessions"], m["fct_bookings"], m["dim_mentors"], params)
+            out["warnings"] += _evaluate(rules, m["dim_mentors"])
         # Reports over tables that are already built trust the checks of that build.
         out["dq_passed"] = mode != "ingest-only"
         if mode in ("full", "analysis-only"):

@@ -208,3 +208,20 @@ def test_unknown_type_fails_the_gate(spark, tmp_path):
 def test_unknown_tier_names_the_known_ones(built):
     with pytest.raises(quality.CheckFailed, match="Diamond.*available tiers.*Bronze"):
         jobs.validate(built[0], Params(group_a=("Diamond",)))
+
+
+def test_failed_checks_leave_dimensions_and_facts_alone(spark, tmp_path):
+    """A repeated key in new rows: nothing of them is published, and what was there stays."""
+    wh = make(spark, "audit", tmp_path)
+    jobs.run(wh, Params(), write_all(tmp_path), as_of=AT)
+    tables = ("snap_mentors", "dim_users", "dim_mentors", "fct_sessions", "fct_bookings")
+    before = {t: (wh.batches(t), wh.read(t).count()) for t in tables}
+    twice = [{"event_id": f"twice{i}", "user_id": 101, "mentor_id": "K7",
+              "timestamp": "2025-03-01T00:00:00Z", "event_type": "session_started"} for i in range(2)]
+    write_csv(tmp_path / "mentors.csv", ["mentor_id", "tier", "hourly_rate"],
+              [("K7", "Silver", 1), *MENTORS[1:]])
+    (tmp_path / "new").mkdir()
+    src = write_all(tmp_path / "new", events() + twice)
+    with pytest.raises(quality.CheckFailed, match="unique on fct_sessions.session_hk"):
+        jobs.run(wh, Params(), src | {"mentors": str(tmp_path / "mentors.csv")}, as_of=AT)
+    assert {t: (wh.batches(t), wh.read(t).count()) for t in tables} == before
