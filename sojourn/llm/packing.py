@@ -6,6 +6,7 @@ import json
 import unicodedata
 import zlib
 from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,8 @@ from .common import arrow_map, slices, stage
 CAPACITY, END = 2048, 0
 #: Words whose ids a task remembers.
 _KNOWN = 800_000
+#: Words of letters that are encoded as one text.
+_TOGETHER = 64
 _SIGNS = b".,;:!?#$%&*()-"
 #: Words as the default vocabulary's file gives them (fixed value).
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -48,7 +51,13 @@ class WordEncoder:
         self.model.no_padding()
         self.model.no_truncation()
         with open(path, encoding="utf-8") as f:
-            self.by_words = _by_words(json.load(f))
+            spec = json.load(f)
+        self.by_words = _by_words(spec)
+        #: Which tokens end a word; None if the vocabulary does not mark them.
+        self.last = None
+        if suffix := spec["model"].get("end_of_word_suffix"):
+            self.last = np.zeros(self.model.get_vocab_size(), dtype=bool)
+            self.last[[i for token, i in self.model.get_vocab().items() if token.endswith(suffix)]] = True
         #: Words as they stand, and what was encoded for them: words without their last signs.
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
@@ -79,6 +88,17 @@ class WordEncoder:
         return [b"".join(map(get, words)) for words in split]
 
     def _encode(self, parts: list[bytes]) -> None:
+        """Words of letters alone go to the library many at a time: each ends with a token that says so."""
+        if self.last is not None:
+            words = [x for x in parts if _letters(x)]
+            texts = [b" ".join(words[i : i + _TOGETHER]).decode() for i in range(0, len(words), _TOGETHER)]
+            found = self.model.encode_batch_fast(texts, add_special_tokens=False)
+            ids = np.fromiter(chain.from_iterable(got.ids for got in found), dtype="<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(words):
+                raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+                self.parts.update((word, raw[a:b]) for word, a, b in zip(words, cuts, cuts[1:]))
+                parts = [x for x in parts if x not in self.parts]
         for at in range(0, len(parts), 4096):
             chunk = parts[at : at + 4096]
             found = self.model.encode_batch_fast([x.decode() for x in chunk], add_special_tokens=False)
@@ -86,6 +106,14 @@ class WordEncoder:
                 self.parts[part] = array("I", got.ids).tobytes()
 
 
+def _letters(part: bytes) -> bool:
+    """Whether a part is letters alone, also when composed and in lower case."""
+    if part.isascii():
+        return part.isalpha()
+    text = part.decode()
+    return text.isalpha() and unicodedata.normalize("NFC", text).lower().isalpha()
+
+
 def _by_words(spec: dict) -> bool:
     """Whether a vocabulary file composes (NFC), lower-cases, and keeps signs by one pattern that drops white space."""
     steps = (spec["normalizer"] or {}).get("normalizers", [])
