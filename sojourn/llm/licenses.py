@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+from collections.abc import Iterable
 from typing import NamedTuple
 
 import numpy as np
@@ -227,21 +229,54 @@ class Scanner:
         return hits
 
 
+class _Reach:
+    """The largest value put so far at any place up to a given one; both in logarithmic time."""
+
+    def __init__(self, places: int) -> None:
+        self.best = [-math.inf] * (places + 1)
+
+    def put(self, at: int, value: int) -> None:
+        at += 1
+        while at < len(self.best):
+            self.best[at] = max(self.best[at], value)
+            at += at & -at
+
+    def upto(self, at: int) -> float:
+        at, out = at + 1, -math.inf
+        while at:
+            out = max(out, self.best[at])
+            at -= at & -at
+        return out
+
+
+def _places(starts: Iterable[int]) -> dict[int, int]:
+    return {start: i for i, start in enumerate(sorted(set(starts)))}
+
+
 def kept(hits: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
     """Hits that no more trusted hit contains, by start.
 
     Taken in order of priority, then length, then place; a hit inside an interval already kept is
-    suppressed. So is a less trusted longer one around it when both name the same license.
+    suppressed. So is a less trusted longer one around it when both name the same license. An
+    interval contains a hit if it starts no later and ends no earlier: of those that start no later
+    the furthest end decides, of a label's that start no earlier the nearest end.
     """
     out: list[tuple[int, int, Rule]] = []
-    starts, ends = np.empty(0, np.int64), np.empty(0, np.int64)
+    place = _places(h[0] for h in hits)
+    furthest = _Reach(len(place))
+    of_label: dict[str, list[int]] = {}
+    for start, _, rule in hits:
+        of_label.setdefault(rule.label, []).append(start)
+    own = {label: _places(starts) for label, starts in of_label.items()}
+    nearest = {label: _Reach(len(places)) for label, places in own.items()}
     for hit in sorted(hits, key=lambda h: (-h[2].priority, h[0] - h[1], h[0], h[2].label)):
-        inside = (starts <= hit[0]) & (ends >= hit[1])
-        around = (starts >= hit[0]) & (ends <= hit[1])
-        if inside.any() or any(out[k][2].label == hit[2].label for k in np.flatnonzero(around)):
+        start, end, label = hit[0], hit[1], hit[2].label
+        back = len(own[label]) - 1 - own[label][start]
+        if furthest.upto(place[start]) >= end or nearest[label].upto(back) >= -end:
             continue
         out.append(hit)
-        starts, ends = np.append(starts, hit[0]), np.append(ends, hit[1])
+        furthest.put(place[start], end)
+        nearest[label].put(back, -end)
     return sorted(out, key=lambda h: (h[0], h[1], h[2].label))
 
 

@@ -63,6 +63,35 @@ def test_license_rules_and_suppression(spark):
     assert labels("under the mit license under the mit license") == ["mit", "mit"]
 
 
+def kept_by_pairs(hits):
+    out = []
+    for hit in sorted(hits, key=lambda h: (-h[2].priority, h[0] - h[1], h[0], h[2].label)):
+        inside = any(k[0] <= hit[0] and k[1] >= hit[1] for k in out)
+        around = any(k[0] >= hit[0] and k[1] <= hit[1] and k[2].label == hit[2].label for k in out)
+        if not inside and not around:
+            out.append(hit)
+    return sorted(out, key=lambda h: (h[0], h[1], h[2].label))
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_license_suppression_equals_the_pairwise_form(seed):
+    rng = np.random.default_rng(seed)
+    base = licenses.rules()[0]
+    rules = [base._replace(label=label, priority=p) for label in "abc" for p in (50, 80, 90)]
+    starts = rng.integers(0, 60, 120)
+    hits = [(int(s), int(s + rng.integers(1, 15)), rules[int(rng.integers(9))]) for s in starts]
+    assert licenses.kept(hits) == kept_by_pairs(hits)
+    assert licenses.kept([]) == []
+
+
+def test_license_suppression_is_near_linear():
+    rules = licenses.rules()[:2]
+    hits = [(7 * i, 7 * i + 5, rules[i % 2]) for i in range(60_000)]
+    start = time.process_time()
+    assert len(licenses.kept(hits)) == len(hits)
+    assert time.process_time() - start < 15
+
+
 def sampled(tokens, rng):
     """A random text that a parsed pattern accepts."""
     out = ""
