@@ -39,12 +39,14 @@ def hot_timelines(events: DataFrame, policy: SkewPolicy = SkewPolicy()) -> DataF
     rows passes a multiple of the target, a slice begins. All of it is grouping and shuffling; the
     driver learns only whether a timeline is hot.
     """
+    target = policy.target_rows
+    if events.count() <= target:  # no timeline has more rows than the log
+        return None
     rows = events.select(
         F.col("user_id").cast("bigint").alias("user_id"),
         F.trim("mentor_id").alias("mentor_id"),
         F.col("timestamp").cast("timestamp_ntz").alias("at"),
     ).dropna()
-    target = policy.target_rows
     counts = rows.groupBy(*PAIR).agg(F.count("*").alias("rows")).filter(F.col("rows") > target)
     if counts.isEmpty():
         return None
