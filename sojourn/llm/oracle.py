@@ -158,7 +158,7 @@ formed AS (
 steps(word, root) AS (
   SELECT word, word FROM formed
   UNION ALL SELECT s.word, form FROM steps s JOIN formed f ON f.word = s.root WHERE form IS NOT NULL)
-SELECT f.word, form, s.root, n, n_near, form_n
+SELECT f.word, f.form, s.root, f.n, f.n_near, f.form_n
 FROM formed f JOIN steps s ON s.word = f.word JOIN formed e ON e.word = s.root AND e.form IS NULL
 """
 
