@@ -209,16 +209,24 @@ def visits(events: DataFrame, gap: str, delay: str = "1 hour") -> DataFrame:
 def drained(stream: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
     """Run ``stream`` over all there is and add what it gives to parquet files; returns when done.
 
-    Files and their log are written once for each micro-batch, so a restart adds no row twice.
+    Files and their log are written once for each micro-batch, so a restart adds no row twice. State
+    gets a partition for each core at most, as every micro-batch opens all of them; a restart keeps
+    the number that the first run chose.
     """
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", folder)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    spark, partitions = stream.sparkSession, "spark.sql.shuffle.partitions"
+    before = spark.conf.get(partitions)
+    spark.conf.set(partitions, min(int(before), spark.sparkContext.defaultParallelism))
+    try:
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", folder)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(partitions, before)
     query.awaitTermination()
     return query
 
