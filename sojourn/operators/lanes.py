@@ -51,8 +51,10 @@ def hot_timelines(events: DataFrame, policy: SkewPolicy = SkewPolicy()) -> DataF
     if counts.isEmpty():
         return None
     stretch = F.window("at", policy.grain)["start"]
+    # At most a row for every target's worth of the log. A shuffled join would leave all rows of a
+    # timeline in one task, and the grouping after it there as well.
     instants = (
-        rows.join(counts.select(*PAIR), PAIR, "left_semi")
+        rows.join(F.broadcast(counts.select(*PAIR)), PAIR, "left_semi")
         .groupBy(*PAIR, "at")
         .agg(F.count("*").alias("n"))
         .withColumn("stretch", stretch)

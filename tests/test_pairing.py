@@ -1,6 +1,7 @@
 """Pairing against brute force, with ties, missing keys and times, and hot timelines."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -140,6 +141,19 @@ def test_lanes_stay_as_small_when_the_log_grows(spark, times):
     assert len(sizes) <= 3 * sum(sizes) / target + 1
 
 
+def test_instants_of_a_hot_timeline_are_counted_in_many_tasks(spark):
+    """Where Spark finds the hot pairs too many to broadcast by itself, rows still go by instant."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        hot = hot_timelines(spark.createDataFrame(mixed_log(8), SCHEMA), SkewPolicy(60))
+        plan = hot._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    assert re.search(r"hashpartitioning\(user_id#\w+, mentor_id#\w+, at#\w+, ", plan)
+
+
 def one_timeline(spark, *steps):
     rows = [(f"e{i}", 1, "M1", at(m), kind) for i, (m, kind) in enumerate(steps)]
     return spark.createDataFrame(rows, SCHEMA)
