@@ -1,16 +1,19 @@
-"""Sessions from a stream of events: a timeline of state for every user and mentor, with timers.
+"""Sessions from a stream of events: timelines of users and mentors in state, with timers.
 
 Events wait in state until the watermark has passed them, so that none before them can come any
 more; then they are read in order of time. A session is handed on as soon as it is known: with its
 end, at the next start, or, if it stays open, when the watermark has passed its start by the time
 that sessions are waited for. Nothing is kept of it afterwards, so state is bounded by what lies
 within the watermark's delay and by one open session for each timeline.
+
+Timelines share shards of state: a key of state costs several calls to the state store in every
+micro-batch that touches it, whatever it holds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import groupby
+from itertools import groupby, islice
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +35,13 @@ STATE_STORE = {
 
 Waiting = tuple[int, int, str | None]  # microseconds, kind, event id
 
+#: Rows of a block of state, or of results, at most.
+_BLOCK_ROWS = 10_000
+_BLOCK = ("at array<bigint>, kind array<int>, event_id array<string>, "
+          "user_id array<bigint>, mentor_id array<string>")
+_SESSION = {"session_start_event_id": "string", "user_id": "bigint", "mentor_id": "string",
+            "started": "bigint", "ended": "bigint"}
+
 
 def advance(waiting: Iterable[Waiting], until: int, patience: int | None) -> tuple[list[tuple], list[Waiting]]:
     """Sessions (event id, start, end or None) known once all events up to ``until`` are there.
@@ -65,63 +75,100 @@ def advance(waiting: Iterable[Waiting], until: int, patience: int | None) -> tup
     return out, rest + [(at, _OPEN, id) for at, id in [opened] if opened] if opened else rest
 
 
-class _Timeline(StatefulProcessor):
-    """One user and mentor: events that wait, the open session among them."""
+class _Shard(StatefulProcessor):
+    """Many timelines of a user and mentor each: events that wait, the open sessions among them.
+
+    State and results go in blocks of columns, since a call to the state store and a row cost
+    much more than a value.
+    """
 
     def __init__(self, patience: int | None) -> None:
         self.patience = patience
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "at long, kind int, event_id string")
-
-    def _wake(self, waiting: list[Waiting]) -> None:
-        """A timer for the first time at which something may become known."""
-        due = [at for at, kind, _ in waiting if kind != _OPEN]
-        if self.patience is not None:
-            due += [at + self.patience for at, kind, _ in waiting if kind == _OPEN]
-        if due:
-            self.handle.registerTimer(-(-min(due) // 1000))
+        self.held = handle.getListState("held", _BLOCK)
+        self.due = handle.getValueState("due", "at_ms long")
+
+    def _wakes(self, at: int, kind: int) -> int | None:
+        """When something may become known by a row that waits."""
+        if kind != _OPEN:
+            return at
+        return None if self.patience is None else at + self.patience
+
+    def _wake(self, rows: list[tuple]) -> None:
+        """A timer for the first time at which something may become known; one for each shard."""
+        first = min((w for r in rows if (w := self._wakes(*r[:2])) is not None), default=None)
+        if first is None:
+            return
+        first, held = -(-first // 1000), self.due.get()
+        if held is not None and held[0] <= first:
+            return
+        if held is not None:
+            self.handle.deleteTimer(held[0])
+        self.handle.registerTimer(first)
+        self.due.update((first,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r.at_us, r.kind, r.event_id) for r in rows]
-        if key[2]:  # rows that match nothing
-            return iter([_session(key, id, at, None) for at, kind, id in new if kind == _START])
-        self.waiting.appendList(new)
-        self._wake(new)
-        return iter(())
+        rows = iter(rows)
+        while part := list(islice(rows, _BLOCK_ROWS)):
+            new = [(r.at_us, r.kind, r.event_id, r.user_id, r.mentor_id) for r in part if r.usable]
+            if new:
+                self.held.appendValue(_columns(new))
+                self._wake(new)
+            # Rows that match nothing.
+            aside = [(r.event_id, r.user_id, r.mentor_id, r.at_us, None)
+                     for r in part if not r.usable and r.kind == _START]
+            yield from _blocks(aside)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        held = [tuple(w) for w in self.waiting.get()]
-        found, rest = advance(held, timerValues.getCurrentWatermarkInMs() * 1000, self.patience)
-        if rest:
-            self.waiting.put(rest)
-            self._wake(rest)
+        until = timerValues.getCurrentWatermarkInMs() * 1000
+        timelines: dict[tuple, list[Waiting]] = {}
+        for block in self.held.get():
+            for at, kind, id, user, mentor in zip(*block):
+                timelines.setdefault((user, mentor), []).append((at, kind, id))
+        sessions, kept = [], []
+        for pair, waiting in timelines.items():
+            if any((w := self._wakes(*r[:2])) is not None and w <= until for r in waiting):
+                found, waiting = advance(waiting, until, self.patience)
+                sessions += [(id, *pair, start, end) for id, start, end in found]
+            kept += [(*w, *pair) for w in waiting]
+        self.due.clear()
+        if kept:
+            self.held.put([_columns(kept[i:i + _BLOCK_ROWS]) for i in range(0, len(kept), _BLOCK_ROWS)])
+            self._wake(kept)
         else:
-            self.waiting.clear()
-        for session in found:
-            yield _session(key, *session)
+            self.held.clear()
+        yield from _blocks(sessions)
 
     def close(self) -> None:
         pass
 
 
-def _session(key, event_id: str | None, start: int | None, end: int | None) -> Row:
-    return Row(session_start_event_id=event_id, user_id=key[0], mentor_id=key[1], started=start, ended=end)
+def _columns(rows: list[tuple]) -> tuple[list, ...]:
+    return tuple(map(list, zip(*rows)))
+
+
+def _blocks(found: list[tuple]) -> Iterator[Row]:
+    """Sessions, as many to a row as a block has."""
+    for i in range(0, len(found), _BLOCK_ROWS):
+        yield Row(**dict(zip(_SESSION, _columns(found[i:i + _BLOCK_ROWS]))))
 
 
 def _minutes(n: int | None) -> int | None:
     return None if n is None else n * 60_000_000
 
 
-def sessions(events: DataFrame, delay: str = "1 hour", patience_minutes: int | None = None) -> DataFrame:
+def sessions(events: DataFrame, delay: str = "1 hour", patience_minutes: int | None = None,
+             shards: int = 4096) -> DataFrame:
     """A row per ``session_started`` of a stream of events, as ``pairing.sessions`` gives for a batch.
 
     ``delay`` is how far events may come out of order; later ones are dropped and counted, see
     ``late_rows``. ``patience_minutes`` is how long after its start a session waits for its end,
     None for as long as it takes. Starts without a user, mentor or time match nothing and are handed
     on at once. ``heartbeat`` rows only move the watermark. The session's state store must keep its
-    state in files (``STATE_STORE``).
+    state in files (``STATE_STORE``). Timelines are dealt to ``shards`` keys of state, which a
+    checkpoint fixes; one task holds a shard at a time, and rewrites it when something in it is due.
     """
     typed = events.select(
         "event_id",
@@ -135,23 +182,27 @@ def sessions(events: DataFrame, delay: str = "1 hour", patience_minutes: int | N
         F.col("event_type").isin(_KINDS)
     )
     usable = F.col("user_id").isNotNull() & F.col("mentor_id").isNotNull() & F.col("at").isNotNull()
-    aside = 1 + F.pmod(F.xxhash64("event_id", "at"), F.lit(4096))
+    place = F.when(usable, F.xxhash64("user_id", "mentor_id")).otherwise(F.xxhash64("event_id", "at"))
     seen = (
         typed.filter(wanted)
-        .withColumns(
-            {
-                "kind": (F.array_position(F.lit(_KINDS), F.col("event_type")) - 1).cast("int"),
-                "at_us": F.unix_micros("at"),
-                "aside": F.when(usable, F.lit(0).cast("long")).otherwise(aside),
-            }
+        .select(
+            F.pmod(place, F.lit(shards)).alias("shard"),
+            "event_id",
+            "user_id",
+            "mentor_id",
+            "at",  # carries the watermark
+            (F.array_position(F.lit(_KINDS), F.col("event_type")) - 1).cast("int").alias("kind"),
+            F.unix_micros("at").alias("at_us"),
+            usable.alias("usable"),
         )
-        .groupBy("user_id", "mentor_id", "aside")
+        .groupBy("shard")
         .transformWithState(
-            _Timeline(_minutes(patience_minutes)),
-            "session_start_event_id string, user_id long, mentor_id string, started long, ended long",
+            _Shard(_minutes(patience_minutes)),
+            ", ".join(f"{name} array<{kind}>" for name, kind in _SESSION.items()),
             "append",
             "EventTime",
         )
+        .select(F.inline(F.arrays_zip(*_SESSION)))
     )
 
     def time(micros: str):

@@ -89,6 +89,32 @@ def test_sessions_equal_the_batch_over_restarts(stateful, tmp_path):
     assert sorted(map(repr, got)) == sorted(map(repr, want))
 
 
+@pytest.mark.parametrize("shards", [1, 7])
+def test_timelines_share_shards_of_state(stateful, tmp_path, shards):
+    """Keys of state do not grow with the timelines, and a shard may hold several blocks."""
+    spark, folder, rng = stateful, f"file://{tmp_path}", random.Random(5)
+    rows = [
+        (None if i % 50 == 0 else f"e{i:05d}", rng.randint(1, 1000), rng.choice("kmn"), at(rng.randint(0, 6000)),
+         rng.choice(["session_started", "session_started", "session_ended"]))
+        for i in range(12_000)
+    ]
+    rows += [(f"n{i}", *rng.choice([(None, "m"), (i, None)]), at(i), "session_started") for i in range(50)]
+    beat = ("beat", None, None, at(60 * 24 * 900), streamed.HEARTBEAT)
+    step = lambda s: streamed.sessions(s, "1 day", None, shards)
+    # Without an end of waiting, every timeline's last session stays in state.
+    closing = [(f"z{u}{m}", u, m, at(60 * 24 * 950), "session_started") for u in range(1, 1001) for m in "kmn"]
+    deliver(spark, folder, [*rows, beat])
+    query = run(spark, folder, step)
+    state = query.recentProgress[-1]["stateOperators"][0]
+    assert state["numRowsTotal"] <= 8 * shards
+    deliver(spark, folder, [*closing, (*beat[:3], at(60 * 24 * 1900), beat[4])])
+    run(spark, folder, step)
+    got = spark.read.parquet(f"{folder}/out").collect()
+    log = spark.createDataFrame(rows + closing, SCHEMA)
+    want = [r for r in pairing.sessions(log).collect() if r.started_at < at(60 * 24 * 950)]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
 def test_open_sessions_are_given_up_and_late_rows_counted(stateful, tmp_path):
     spark, folder = stateful, f"file://{tmp_path}"
     step = lambda s: streamed.sessions(s, "10 minutes", 30)
