@@ -128,6 +128,23 @@ def test_open_sessions_are_given_up_and_late_rows_counted(stateful, tmp_path):
     assert streamed.late_rows(run(spark, folder, step)) == 1
 
 
+def test_open_sessions_of_one_shard_are_given_up_in_turn(stateful, tmp_path):
+    """One timer serves all timelines of a shard; an earlier event takes its place."""
+    spark, folder = stateful, f"file://{tmp_path}"
+    step = lambda s: streamed.sessions(s, "10 minutes", 30, 1)
+    ended = lambda: {
+        r.session_start_event_id: r.ended_at for r in spark.read.parquet(f"{folder}/out").collect()
+    }
+    deliver(spark, folder, [(f"s{u}", u, "m", at(10 * u), "session_started") for u in range(5)]
+            + [("h", None, None, at(45), streamed.HEARTBEAT)])
+    run(spark, folder, step)
+    assert ended() == {"s0": None}
+    deliver(spark, folder, [("e1", 1, "m", at(38), "session_ended"), ("e2", 2, "m", at(51), "session_ended"),
+                            ("h", None, None, at(100), streamed.HEARTBEAT)])
+    run(spark, folder, step)
+    assert ended() == {"s0": None, "s1": at(38), "s2": None, "s3": None, "s4": None}
+
+
 def test_repeats_are_left_out_across_batches(stateful, tmp_path):
     spark, folder = stateful, f"file://{tmp_path}"
     one = [(f"e{i}", 1, "m", at(i), "session_started") for i in range(10)]
