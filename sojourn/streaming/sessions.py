@@ -6,18 +6,24 @@ end, at the next start, or, if it stays open, when the watermark has passed its
 that sessions are waited for. Nothing is kept of it afterwards, so state is bounded by what lies
 within the watermark's delay and by one open session for each timeline.
 
-Timelines share shards of state: a key of state costs several calls to the state store in every
-micro-batch that touches it, whatever it holds.
+Timelines share shards of state: a key of state has a price in every micro-batch that touches it,
+whatever it holds. A shard is one row, and its timelines are paired at once, column by column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import groupby, islice
-
-from pyspark.sql import DataFrame, Row, SparkSession
+from functools import reduce
+from operator import add
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..params import EVENT_TYPES
 
@@ -35,124 +41,156 @@ STATE_STORE = {
 
 Waiting = tuple[int, int, str | None]  # microseconds, kind, event id
 
-#: Rows of a block of state, or of results, at most.
-_BLOCK_ROWS = 10_000
-_BLOCK = ("at array<bigint>, kind array<int>, event_id array<string>, "
-          "user_id array<bigint>, mentor_id array<string>")
+#: What a shard holds.
+_HELD = pa.schema([("at_us", pa.int64()), ("kind", pa.int32()), ("event_id", pa.string()),
+                   ("user_id", pa.int64()), ("mentor_id", pa.string())])
+#: What a row may lack, as bits; such rows match nothing.
+_NO_USER, _NO_MENTOR, _NO_TIME = 1, 2, 4
 _SESSION = {"session_start_event_id": "string", "user_id": "bigint", "mentor_id": "string",
             "started": "bigint", "ended": "bigint"}
 
 
 def advance(waiting: Iterable[Waiting], until: int, patience: int | None) -> tuple[list[tuple], list[Waiting]]:
-    """Sessions (event id, start, end or None) known once all events up to ``until`` are there.
+    """Sessions (event id, start, end or None) of one timeline known once all events up to ``until`` are there.
 
     Also returns what still waits. A session ends at the first end strictly between its start and
     the next one, at most ``patience`` later. Of starts at one time all but the highest id, a null
     one being the highest, own an empty interval.
     """
-    out: list[tuple] = []
-    rest = [w for w in waiting if w[1] != _OPEN and w[0] > until]
-    opened = next(((at, id) for at, kind, id in waiting if kind == _OPEN), None)
-    known = sorted((w for w in waiting if w[1] != _OPEN and w[0] <= until), key=lambda w: w[0])
-
-    def close(end: int | None) -> None:
-        if opened:
-            out.append((opened[1], opened[0], end))
-
-    for at, group in groupby(known, key=lambda w: w[0]):
-        starts = sorted((id for _, kind, id in group if kind == _START), key=lambda id: (id is None, id))
-        in_time = patience is None or not opened or at <= opened[0] + patience
-        if starts:
-            close(None)
-            out += [(id, at, None) for id in starts[:-1]]
-            opened = (at, starts[-1])
-        elif opened:
-            close(at if in_time else None)
-            opened = None
-    if opened and patience is not None and opened[0] + patience <= until:
-        close(None)
-        opened = None
-    return out, rest + [(at, _OPEN, id) for at, id in [opened] if opened] if opened else rest
-
-
-class _Shard(StatefulProcessor):
+    held = _table([(*w, 0, "") for w in waiting])
+    found, rest = _advanced(held, until, patience)
+    columns = (found[c] for c in ("session_start_event_id", "started", "ended"))
+    return list(zip(*columns)), list(zip(*(rest[c].to_pylist() for c in _HELD.names[:3])))
+
+
+def _advanced(held: pa.Table, until: int, patience: int | None) -> tuple[pd.DataFrame, pa.Table]:
+    """``advance`` for all timelines of a shard at once: sessions, and what still waits."""
+    rank = np.array([1, 2, 0], dtype=np.int8)[held["kind"].to_numpy()]  # open sessions, starts, ends
+    keys = ["user_id", "mentor_id", "at_us", "rank", "event_id"]
+    order = pc.sort_indices(held.append_column("rank", pa.array(rank)), [(k, "ascending") for k in keys])
+    held = held.take(order).combine_chunks()
+    at, kind, user = (held[c].to_numpy() for c in ("at_us", "kind", "user_id"))
+    mentor = held["mentor_id"].combine_chunks().dictionary_encode().indices.to_numpy()
+    timeline = np.cumsum(_changes(user) | _changes(mentor))
+    # A timeline's open session lies before all that waits, and what is known before the rest.
+    known = np.flatnonzero((kind == _OPEN) | (at <= until))
+    time, line, start = at[known], timeline[known], kind[known] != _END
+    first = _changes(line) | _changes(time)
+    last = start & np.append(first[1:] | ~start[1:], True)[: len(start)]
+    # Where the next instant of all begins, and whether it is one of the same timeline.
+    instants = np.append(np.flatnonzero(first), len(known))
+    following = instants[np.cumsum(first)]
+    there = np.append(line, -1)[following] == line
+    then = np.append(time, 0)[following]
+    ended = last & there & ~np.append(start, False)[following]
+    if patience is not None:
+        ended &= then <= time + patience
+    stays = last & ~there
+    if patience is not None:
+        stays &= time + patience > until
+    found = held.take(pa.array(known[start & ~stays]))
+    ends = np.where(ended, then.astype(object), None)[start & ~stays]
+    columns = [found[c].to_numpy() for c in ("event_id", "user_id", "mentor_id", "at_us")]
+    rest = np.ones(len(at), dtype=bool)
+    rest[known] = stays
+    opened = kind.copy()
+    opened[known[stays]] = _OPEN
+    held = held.set_column(1, _HELD.field("kind"), pa.array(opened)).filter(pa.array(rest))
+    return pd.DataFrame(dict(zip(_SESSION, (c.astype(object) for c in (*columns, ends))))), held
+
+
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before."""
+    return np.append(True, values[1:] != values[:-1])[: len(values)]
+
+
+class _Shard:
     """Many timelines of a user and mentor each: events that wait, the open sessions among them.
 
-    State and results go in blocks of columns, since a call to the state store and a row cost
-    much more than a value.
+    Rows, results and state go in columns, since a row that is an object of its own costs much more
+    than its values.
     """
 
     def __init__(self, patience: int | None) -> None:
         self.patience = patience
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.held = handle.getListState("held", _BLOCK)
-        self.due = handle.getValueState("due", "at_ms long")
-
-    def _wakes(self, at: int, kind: int) -> int | None:
-        """When something may become known by a row that waits."""
-        if kind != _OPEN:
-            return at
-        return None if self.patience is None else at + self.patience
-
-    def _wake(self, rows: list[tuple]) -> None:
-        """A timer for the first time at which something may become known; one for each shard."""
-        first = min((w for r in rows if (w := self._wakes(*r[:2])) is not None), default=None)
-        if first is None:
+    def __call__(self, key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        until = state.getCurrentWatermarkMs() * 1000
+        blocks, wake = [], None
+        if state.exists:
+            held, wake = state.get
+            blocks.append(_read(held))
+        if not state.hasTimedOut:
+            for frame in frames:
+                lacks = frame["lacks"].to_numpy()
+                new = frame if not lacks.any() else frame[lacks == 0]
+                if len(new):
+                    blocks.append(_columns(new))
+                    wake = _first(wake, self._wakes(blocks[-1]))
+                # Rows that match nothing.
+                aside = frame[(lacks != 0) & (frame["kind"].to_numpy() == _START)]
+                if len(aside):
+                    yield _aside(aside)
+        if not blocks:
             return
-        first, held = -(-first // 1000), self.due.get()
-        if held is not None and held[0] <= first:
+        held = pa.concat_tables(blocks)
+        if wake is not None and wake <= until:
+            found, held = _advanced(held, until, self.patience)
+            yield found
+            wake = _first(None, self._wakes(held))
+        if not held.num_rows:
+            state.remove()
             return
-        if held is not None:
-            self.handle.deleteTimer(held[0])
-        self.handle.registerTimer(first)
-        self.due.update((first,))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        rows = iter(rows)
-        while part := list(islice(rows, _BLOCK_ROWS)):
-            new = [(r.at_us, r.kind, r.event_id, r.user_id, r.mentor_id) for r in part if r.usable]
-            if new:
-                self.held.appendValue(_columns(new))
-                self._wake(new)
-            # Rows that match nothing.
-            aside = [(r.event_id, r.user_id, r.mentor_id, r.at_us, None)
-                     for r in part if not r.usable and r.kind == _START]
-            yield from _blocks(aside)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        until = timerValues.getCurrentWatermarkInMs() * 1000
-        timelines: dict[tuple, list[Waiting]] = {}
-        for block in self.held.get():
-            for at, kind, id, user, mentor in zip(*block):
-                timelines.setdefault((user, mentor), []).append((at, kind, id))
-        sessions, kept = [], []
-        for pair, waiting in timelines.items():
-            if any((w := self._wakes(*r[:2])) is not None and w <= until for r in waiting):
-                found, waiting = advance(waiting, until, self.patience)
-                sessions += [(id, *pair, start, end) for id, start, end in found]
-            kept += [(*w, *pair) for w in waiting]
-        self.due.clear()
-        if kept:
-            self.held.put([_columns(kept[i:i + _BLOCK_ROWS]) for i in range(0, len(kept), _BLOCK_ROWS)])
-            self._wake(kept)
-        else:
-            self.held.clear()
-        yield from _blocks(sessions)
-
-    def close(self) -> None:
-        pass
-
-
-def _columns(rows: list[tuple]) -> tuple[list, ...]:
-    return tuple(map(list, zip(*rows)))
-
-
-def _blocks(found: list[tuple]) -> Iterator[Row]:
-    """Sessions, as many to a row as a block has."""
-    for i in range(0, len(found), _BLOCK_ROWS):
-        yield Row(**dict(zip(_SESSION, _columns(found[i:i + _BLOCK_ROWS]))))
+        state.update((_written(held), wake))
+        if wake is not None:
+            # A group is woken once the watermark is beyond the time that is set.
+            state.setTimeoutTimestamp(max(-(-wake // 1000) - 1, 1))
+
+    def _wakes(self, held: pa.Table) -> np.ndarray:
+        """When something may become known by rows that wait."""
+        at, opened = held["at_us"].to_numpy(), held["kind"].to_numpy() == _OPEN
+        return at[~opened] if self.patience is None else np.where(opened, at + self.patience, at)
+
+
+def _first(wake: int | None, others: np.ndarray) -> int | None:
+    """The earliest time; None is none."""
+    if not len(others):
+        return wake
+    return int(others.min()) if wake is None else min(wake, int(others.min()))
+
+
+def _table(rows: list[tuple]) -> pa.Table:
+    columns = zip(*rows) if rows else [()] * len(_HELD)
+    return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, _HELD)], schema=_HELD)
+
+
+def _columns(frame: pd.DataFrame) -> pa.Table:
+    columns = [pa.array(frame[f.name], type=f.type, from_pandas=True) for f in _HELD]
+    return pa.Table.from_arrays(columns, schema=_HELD)
+
+
+def _aside(frame: pd.DataFrame) -> pd.DataFrame:
+    """Starts that match nothing as sessions without an end."""
+    lacks = frame["lacks"].to_numpy()
+    columns = [
+        frame["event_id"].to_numpy(),
+        np.where(lacks & _NO_USER, None, frame["user_id"].astype(object)),
+        frame["mentor_id"].to_numpy(),
+        np.where(lacks & _NO_TIME, None, frame["at_us"].astype(object)),
+        np.full(len(frame), None),
+    ]
+    return pd.DataFrame(dict(zip(_SESSION, columns)))
+
+
+def _read(held: bytes) -> pa.Table:
+    return pa.ipc.open_stream(held).read_all()
+
+
+def _written(held: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _HELD) as writer:
+        writer.write_table(held.combine_chunks())
+    return sink.getvalue().to_pybytes()
 
 
 def _minutes(n: int | None) -> int | None:
@@ -181,28 +219,31 @@ def sessions(events: DataFrame, delay: str = "1 hour", patience_minutes: int | N
     wanted = F.when(F.col("at").isNull(), F.col("event_type") == _KINDS[_START]).otherwise(
         F.col("event_type").isin(_KINDS)
     )
-    usable = F.col("user_id").isNotNull() & F.col("mentor_id").isNotNull() & F.col("at").isNotNull()
-    place = F.when(usable, F.xxhash64("user_id", "mentor_id")).otherwise(F.xxhash64("event_id", "at"))
+    bits = {"user_id": _NO_USER, "mentor_id": _NO_MENTOR, "at": _NO_TIME}
+    lacks = reduce(add, [F.when(F.col(c).isNull(), bit).otherwise(0) for c, bit in bits.items()])
+    shard, zero = _Shard(_minutes(patience_minutes)), F.lit(0).cast("bigint")
+    place = F.when(lacks == 0, F.xxhash64("user_id", "mentor_id")).otherwise(F.xxhash64("event_id", "at"))
     seen = (
         typed.filter(wanted)
         .select(
             F.pmod(place, F.lit(shards)).alias("shard"),
             "event_id",
-            "user_id",
+            # Numbers with gaps would become floating-point ones.
+            F.coalesce("user_id", zero).alias("user_id"),
             "mentor_id",
             "at",  # carries the watermark
             (F.array_position(F.lit(_KINDS), F.col("event_type")) - 1).cast("int").alias("kind"),
-            F.unix_micros("at").alias("at_us"),
-            usable.alias("usable"),
+            F.coalesce(F.unix_micros("at"), zero).alias("at_us"),
+            lacks.alias("lacks"),
         )
         .groupBy("shard")
-        .transformWithState(
-            _Shard(_minutes(patience_minutes)),
-            ", ".join(f"{name} array<{kind}>" for name, kind in _SESSION.items()),
+        .applyInPandasWithState(
+            shard.__call__,
+            ", ".join(f"{name} {kind}" for name, kind in _SESSION.items()),
+            "held binary, wake long",
             "append",
-            "EventTime",
+            GroupStateTimeout.EventTimeTimeout,
         )
-        .select(F.inline(F.arrays_zip(*_SESSION)))
     )
 
     def time(micros: str):

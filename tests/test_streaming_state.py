@@ -167,3 +167,22 @@ def test_windows_are_handed_on_once(stateful, tmp_path):
         run(spark, folder, step)
     got = {r.window_start: r.n for r in spark.read.parquet(f"{folder}/out").collect()}
     assert got == {at(0): 9, at(60): 9, at(120): 2}
+
+
+def test_a_shard_is_one_row_of_state(stateful, tmp_path):
+    """A shard's rows come and go in columns; large ids stay whole beside missing ones."""
+    spark, folder, big = stateful, f"file://{tmp_path}", 2**53 + 1
+    rows = [(f"s{i}", big + i, "m", at(i), "session_started") for i in range(40)]
+    rows += [(f"e{i}", big + i, "m", at(i + 5), "session_ended") for i in range(0, 40, 2)]
+    rows += [("u", None, "m", at(3), "session_started"), ("t", big, "m", None, "session_started"),
+             (None, big, None, at(4), "session_started"), (None, big, "m", at(0), "session_started")]
+    step = lambda s: streamed.sessions(s, "1 day", 60 * 24, 5)
+    deliver(spark, folder, rows)
+    query = run(spark, folder, step)
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 5
+    deliver(spark, folder, [("beat", None, None, at(60 * 24 * 9), streamed.HEARTBEAT)])
+    query = run(spark, folder, step)
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 0
+    got = spark.read.parquet(f"{folder}/out").collect()
+    want = pairing.sessions(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
