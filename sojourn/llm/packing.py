@@ -75,29 +75,28 @@ class WordEncoder:
             self.known.clear()
             self.parts.clear()
         known, parts = self.known, self.parts
-        new = [w for words in split for w in words if w not in known]
-        cores = {w: w.rstrip(_SIGNS) for w in new}
+        new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in known]
+        cores = {w: w.rstrip(_SIGNS) for w in new if not w.isalpha()}
         cut = {w: core for w, core in cores.items() if len(core) < len(w) and _ends(core, w)}
-        whole = cores.keys() - cut.keys()
-        self._encode([x for x in {*whole, *cut.values(), *(w[len(c) :] for w, c in cut.items())} if x not in parts])
-        for word in whole:
-            known[word] = parts[word]
-        for word, core in cut.items():
-            known[word] = parts[core] + parts[word[len(core) :]]
+        whole = [w for w in new if w not in cut]
+        needed = dict.fromkeys(chain(whole, cut.values(), (w[len(c) :] for w, c in cut.items())))
+        self._encode([x for x in needed if x not in parts])
+        known.update(zip(whole, map(parts.__getitem__, whole)))
+        known.update((w, parts[core] + parts[w[len(core) :]]) for w, core in cut.items())
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
     def _encode(self, parts: list[bytes]) -> None:
         """Words of letters alone go to the library many at a time: each ends with a token that says so."""
         if self.last is not None:
-            words = [x for x in parts if _letters(x)]
+            words = [x for x in parts if x.isalpha() or not x.isascii() and _letters(x)]
             texts = [b" ".join(words[i : i + _TOGETHER]).decode() for i in range(0, len(words), _TOGETHER)]
             found = self.model.encode_batch_fast(texts, add_special_tokens=False)
             ids = np.fromiter(chain.from_iterable(got.ids for got in found), dtype="<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(words):
                 raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-                self.parts.update((word, raw[a:b]) for word, a, b in zip(words, cuts, cuts[1:]))
+                self.parts.update(zip(words, map(raw.__getitem__, map(slice, cuts, cuts[1:]))))
                 parts = [x for x in parts if x not in self.parts]
         for at in range(0, len(parts), 4096):
             chunk = parts[at : at + 4096]

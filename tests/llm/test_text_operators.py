@@ -454,3 +454,16 @@ def test_packing_odd_rows_and_sequences(odd, none):
     short = odd.where("doc_id IN (1, 4, 7, 9)")
     ids = [x for r in packing.sequences(short, capacity=64).collect() for x in r.ids]
     assert ids.count(packing.END) == short.count()
+
+
+def test_plain_words_are_not_looked_at_one_by_one(monkeypatch):
+    seen = []
+    for name in ("_letters", "_ends"):
+        check = getattr(packing, name)
+        monkeypatch.setattr(packing, name, lambda *x, check=check: seen.append(x[-1]) or check(*x))
+    encoder = packing.WordEncoder(packing.tokenizer_path())
+    texts = ["plain words", "more plain words, Übung", None, "plain"]
+    got = encoder.of(texts)
+    want = [encoder.model.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == want
+    assert set(seen) == {b"words,", "Übung".encode()}
