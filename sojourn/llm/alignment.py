@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import gc
 import re
-from itertools import accumulate, chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -59,15 +59,14 @@ class ByteLevel:
 
     def spans(self, texts: list[str]) -> Tokens:
         """Ids and byte spans as far as the library tells them."""
-        ids, spans = [], []
-        for text, got in zip(texts, self.model.encode_batch(texts, add_special_tokens=False)):
-            own = got.offsets
-            if not text.isascii():
-                starts = list(accumulate([len(c.encode()) for c in text], initial=0))
-                own = [(starts[a], starts[b]) for a, b in own]
-            ids.append(got.ids)
-            spans.append(own)
-        return Tokens(self.sizes, ids, spans)
+        found = self.model.encode_batch(texts, add_special_tokens=False)
+        ids, own = [got.ids for got in found], flat([got.offsets for got in found])
+        # From characters to bytes, by the places where characters begin.
+        raw = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+        starts = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+        first = np.cumsum([0, *map(len, texts)])[:-1]
+        first = np.repeat(first, np.fromiter(map(len, ids), dtype=np.int64))[:, None]
+        return Tokens(self.sizes, ids, starts[own + first] - starts[first])
 
 
 class Pieces:
@@ -93,19 +92,24 @@ class Pieces:
     def spans(self, texts: list[str]) -> Tokens:
         # The proto's ids and byte spans without an object for each token.
         found = self.model.encode(texts, return_type="offset_mapping", return_bytes=True, num_threads=1)
-        return Tokens(self.sizes, [x["ids"] for x in found], [x["offsets"] for x in found])
+        return Tokens(self.sizes, [x["ids"] for x in found], flat([x["offsets"] for x in found]))
+
+
+def flat(spans: list[list[tuple[int, int]]]) -> np.ndarray:
+    """The spans of several pieces as rows of (begin, end)."""
+    numbers = chain.from_iterable(chain.from_iterable(spans))
+    return np.fromiter(numbers, dtype=np.int64, count=2 * sum(map(len, spans))).reshape(-1, 2)
 
 
 class Tokens:
     """The tokens of several pieces in a row: ids, how many each piece has, and where they end in it."""
 
-    def __init__(self, sizes: np.ndarray, ids: list[list[int]], spans: list[list[tuple[int, int]]]) -> None:
+    def __init__(self, sizes: np.ndarray, ids: list[list[int]], spans: np.ndarray) -> None:
         self.ids = np.fromiter(chain.from_iterable(ids), dtype=np.int64)
         self.counts = np.fromiter(map(len, ids), dtype=np.int64)
         self.first = np.cumsum(np.append(0, self.counts))
         self.sizes = sizes[self.ids]
-        flat = chain.from_iterable(chain.from_iterable(spans))
-        begin, end = np.fromiter(flat, dtype=np.int64).reshape(-1, 2).T
+        begin, end = spans.T
         total = np.append(0, np.cumsum(self.sizes))
         by_bytes = total[1:] - np.repeat(total[self.first[:-1]], self.counts)
         #: A span that holds just the token's bytes is right; others are refined by the bytes.
@@ -136,10 +140,15 @@ def pieces_of(inner: set[str]) -> re.Pattern:
 
 def same_bytes(texts: list[bytes], tokens: Tokens, table: list[bytes]) -> np.ndarray:
     """Whether the bytes of a piece's tokens, one after the other, are the piece."""
-    ids, first = tokens.ids.tolist(), tokens.first.tolist()
-    return np.array(
-        [b"".join([table[i] for i in ids[s:e]]) == text for text, s, e in zip(texts, first, first[1:])], dtype=bool
-    )
+    lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    same = tokens.lengths == lengths
+    # Pieces of other lengths differ; the rest are compared byte by byte, all at once.
+    spelt = b"".join(map(table.__getitem__, tokens.ids[np.repeat(same, tokens.counts)].tolist()))
+    read = b"".join(compress(texts, same.tolist()))
+    if spelt != read:
+        differs = np.cumsum(np.append(0, np.frombuffer(spelt, np.uint8) != np.frombuffer(read, np.uint8)))
+        same[same] = np.diff(differs[np.cumsum(np.append(0, lengths[same]))]) == 0
+    return same
 
 
 def grouped(a: Tokens, b: Tokens, names: list[list[str]]) -> list[tuple[str, bytes, int, int]]:
@@ -192,7 +201,7 @@ class Aligner:
             # The last generation stays at hand, so what is frequent is not aligned again.
             self.known, self.before = {}, self.known
         known = self.known
-        new = {p for pieces in split for p in pieces if p not in known}
+        new = [p for p in dict.fromkeys(chain.from_iterable(split)) if p not in known]
         again = {p: self.before[p] for p in new if p in self.before}
         known.update(again)
         new = [p for p in new if p not in again]

@@ -275,3 +275,16 @@ def test_alignment_odd_rows(spark, odd, none):
     assert Counter(tuple(r) for r in got.select(COLUMNS).collect()) == rows_by_hand([r[:2] for r in odd_rows()])
     assert alignment.alignments(none).collect() == []
     assert alignment.aligned(none.select(*SCHEMA.names)).collect() == []
+
+
+def test_spans_of_many_pieces_are_those_of_each():
+    """Characters become bytes, and bytes are compared, for all pieces of a batch at once."""
+    a = alignment.ByteLevel(alignment.default_paths()[0])
+    texts = [t for t in [*HARD, *random_texts(60, 9)] if t]
+    many = a.spans(texts)
+    assert many.ends.tolist() == [e for t in texts for e in a.spans([t]).ends.tolist()]
+    data = [t.encode() for t in texts]
+    wrong = [d if i % 3 else bytes(len(d)) for i, d in enumerate(data)]
+    assert alignment.same_bytes(data, many, a.token_bytes).all()
+    assert alignment.same_bytes(wrong, many, a.token_bytes).tolist() == [w == d for w, d in zip(wrong, data)]
+    assert alignment.flat([[(0, 1), (1, 3)], [], [(0, 2)]]).tolist() == [[0, 1], [1, 3], [0, 2]]
